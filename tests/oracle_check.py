@@ -62,29 +62,21 @@ def value_hash(df: pd.DataFrame) -> str:
     return hashlib.sha256("\n".join(rows).encode()).hexdigest()
 
 
-def compare(spark, name: str, sf_dir: str, con=None) -> dict:
-    import __spark_entry__ as entry
-
-    t0 = time.time()
-    sdf = entry.queries()[name](spark, sf_dir)
+def compare_frames(sdf, rel) -> dict:
+    """Compare a Spark DataFrame with a DuckDB relation."""
     spark_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     left = sdf.toPandas()
-    t1 = time.time()
-    con = con or duck(sf_dir)
-    sql = entry.oracle_sql()[name]
-    rel = con.sql(sql)
+    # toPandas turns a nullable int column holding NULLs into float64; undo that
+    for c, t in spark_types.items():
+        if _kind(t) == "int" and left[c].dtype.kind == "f":
+            left[c] = left[c].astype("Int64")
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     right = rel.df()
-    res = {
-        "name": name,
-        "rows": (len(left), len(right)),
-        "cols_match": sorted(left.columns) == sorted(right.columns),
-        "spark_sec": round(t1 - t0, 2),
-    }
+    res = {"rows": (len(left), len(right)), "cols_match": sorted(left.columns) == sorted(right.columns)}
     if res["cols_match"]:
-        kinds_l = {c: _kind(spark_types[c]) for c in left.columns}
-        kinds_r = {c: _kind(duck_types.get(c, right[c].dtype)) for c in right.columns}
-        res["type_mismatch"] = {c: (spark_types[c], duck_types.get(c)) for c in left.columns if kinds_l[c] != kinds_r[c]}
+        res["type_mismatch"] = {
+            c: (spark_types[c], duck_types[c]) for c in left.columns if _kind(spark_types[c]) != _kind(duck_types[c])
+        }
         res["hash_match"] = value_hash(left) == value_hash(right)
     else:
         res["columns"] = (sorted(left.columns), sorted(right.columns))
@@ -93,6 +85,18 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     return res
 
 
+def compare(spark, name: str, sf_dir: str, con=None) -> dict:
+    import __spark_entry__ as entry
+
+    t0 = time.time()
+    sdf = entry.queries()[name](spark, sf_dir)
+    con = con or duck(sf_dir)
+    res = compare_frames(sdf, con.sql(entry.oracle_sql()[name]))
+    res["name"] = name
+    res["sec"] = round(time.time() - t0, 2)
+    return res
+
+
 if __name__ == "__main__":
     from txrisk.session import build_session
 

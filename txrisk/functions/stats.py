@@ -60,14 +60,16 @@ def kth_values(df: DataFrame, groups: Sequence[str], value: str, targets: dict[s
         if level == 0:
             h = hist.groupBy(*groups, key).agg(F.sum("_c").alias("_c"))
             part = groups
-            h = h.withColumn("n", F.sum("_c").over(Window.partitionBy(*part)))
-            h = h.withColumn("_t", F.explode(rank_structs)).select("*", "_t.*").drop("_t")
         else:
             h = _join_null_safe(hist, wanted, groups, parents, ["n", _TARGET, _RANK])
             part = groups + [_TARGET]
             h = h.groupBy(*part, "n", _RANK, *parents, key).agg(F.sum("_c").alias("_c"))
         running = Window.partitionBy(*part).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         h = h.withColumn("_end", F.sum("_c").over(running))
+        if level == 0:
+            # group size and the wanted ranks, one row per (bucket, target)
+            h = h.withColumn("n", F.sum("_c").over(Window.partitionBy(*part)))
+            h = h.withColumn("_t", F.explode(rank_structs)).select("*", "_t.*").drop("_t")
         start = F.col("_end") - F.col("_c")
         h = h.where((start < F.col(_RANK)) & (F.col(_RANK) <= F.col("_end")))
         wanted = h.select(*groups, "n", _TARGET, *parents, key, (F.col(_RANK) - start).alias(_RANK))

@@ -42,21 +42,25 @@ def _on(fixture: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def _raw(fn: Callable[[DataFrame], DataFrame], fixture: str = "tx_lines") -> Query:
-    return _on(fixture, fn)
+Builder = tuple[str, Callable[[DataFrame], DataFrame]]
 
 
-def _clean(fn: Callable[[DataFrame], DataFrame], fixture: str = "tx_lines") -> Query:
-    return _on(fixture, lambda tx: fn(clean(tx)))
+def _raw(fn: Callable[[DataFrame], DataFrame], fixture: str = "tx_lines") -> Builder:
+    return fixture, fn
 
 
-def _run(attr: Callable[[RiskRun], DataFrame], fixture: str = "tx_lines") -> Query:
-    return _on(fixture, lambda tx: attr(RiskRun(tx)))
+def _clean(fn: Callable[[DataFrame], DataFrame], fixture: str = "tx_lines") -> Builder:
+    return fixture, lambda tx: fn(clean(tx))
+
+
+def _run(attr: Callable[[RiskRun], DataFrame], fixture: str = "tx_lines") -> Builder:
+    return fixture, lambda tx: attr(RiskRun(tx))
 
 
 cfg = DEFAULT
 
-QUERIES: dict[str, Query] = {
+# name -> (fixture, raw transactions -> result)
+BUILDERS: dict[str, Builder] = {
     # sources
     "clean_transactions": _clean(lambda c: c),
     # data quality (Q1-Q13)
@@ -113,3 +117,10 @@ QUERIES: dict[str, Query] = {
     "outlier_transactions_orders": _run(lambda r: r.outliers(), "tx_orders"),
     "romania_incoming_orders": _run(lambda r: r.incoming, "tx_orders"),
 }
+
+QUERIES: dict[str, Query] = {name: _on(fx, fn) for name, (fx, fn) in BUILDERS.items()}
+
+
+def run_on(name: str, tx: DataFrame) -> DataFrame:
+    """Run a registered query on any raw transaction table (rounded like the registry)."""
+    return round_doubles(BUILDERS[name][1](tx))
