@@ -103,6 +103,9 @@ class RiskConfig:
     max_country_length: int = 2
     # Percentiles reported per segment by the threshold recommendation.
     segment_percentiles: tuple[float, ...] = (0.5, 0.9, 0.95)
+    # Sketch size of the per-segment percentiles: exact while a segment has fewer than
+    # accuracy/2 customers, rank error at most n/accuracy beyond; memory stays bounded.
+    percentile_accuracy: int = 100_000
     # Options that are off by default (the rules as published do not use them).
     min_group_size: int = 1  # groups smaller than this never alert
     normalize_strings: bool = False  # upper(trim()) country, initcap(trim()) sign at load

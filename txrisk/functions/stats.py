@@ -29,10 +29,12 @@ def _shifts(dtype: T.DataType) -> list[int]:
     return [42, 21, 0]
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, null_safe: list[str], plain: list[str], take: list[str]) -> DataFrame:
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], take: list[str]) -> DataFrame:
+    # Null-safe equality on every key: a NULL group is a group, and no IsNotNull filter is
+    # inferred and pushed into the histogram, so every level reads the same histogram
+    # subtree and its shuffle is reused instead of recomputed.
     lf, rt = left.alias("_l"), right.alias("_r")
-    cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in null_safe]
-    cond += [F.col(f"_l.{k}") == F.col(f"_r.{k}") for k in plain]
+    cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
     return lf.join(rt, cond, "inner").select("_l.*", *[F.col(f"_r.{c}") for c in take])
 
 
@@ -61,7 +63,7 @@ def kth_values(df: DataFrame, groups: Sequence[str], value: str, targets: dict[s
             h = hist.groupBy(*groups, key).agg(F.sum("_c").alias("_c"))
             part = groups
         else:
-            h = _join_null_safe(hist, wanted, groups, parents, ["n", _TARGET, _RANK])
+            h = _join_null_safe(hist, wanted, groups + parents, ["n", _TARGET, _RANK])
             part = groups + [_TARGET]
             h = h.groupBy(*part, "n", _RANK, *parents, key).agg(F.sum("_c").alias("_c"))
         running = Window.partitionBy(*part).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)

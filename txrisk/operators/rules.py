@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.functions.stats import nearest_rank_percentiles
+from txrisk.functions.stats import percentile_name
 from txrisk.operators.features import alert_flag
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 
@@ -62,18 +62,29 @@ def country_incoming(clean: DataFrame, rating: DataFrame, cfg: RiskConfig = DEFA
 
 
 def segment_thresholds(incoming: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Per segment: customers, mean, population stdev and nearest-rank percentiles of the
-    monthly incoming amount, as inputs for choosing a rule threshold per segment."""
-    stats = incoming.groupBy("Risk_Segment").agg(
+    """Per segment: customers, mean, population stdev and percentiles of the monthly
+    incoming amount, as inputs for choosing a rule threshold per segment.
+
+    Percentiles come from Spark's mergeable quantile sketch, so a segment holding most
+    customers is summarised in bounded memory with map-side partial aggregation. They
+    equal the nearest-rank percentile while a segment has fewer than
+    ``cfg.percentile_accuracy / 2`` customers, and are within ``n / accuracy`` ranks beyond.
+    """
+    probs = list(cfg.segment_percentiles)
+    pct = F.percentile_approx("TransactionAmount", probs, cfg.percentile_accuracy)
+    out = incoming.groupBy("Risk_Segment").agg(
         F.count(F.lit(1)).alias("num_customers"),
         F.avg("TransactionAmount").alias("mean_amount"),
         F.stddev_pop("TransactionAmount").alias("stddev_amount"),
+        pct.alias("_pct"),
+    )
+    return out.select(
+        "Risk_Segment",
+        "num_customers",
+        "mean_amount",
+        "stddev_amount",
+        *[F.col("_pct")[i].alias(percentile_name(p)) for i, p in enumerate(probs)],
     )
-    pct = nearest_rank_percentiles(incoming, ["Risk_Segment"], "TransactionAmount", cfg.segment_percentiles)
-    s, p = stats.alias("_s"), pct.alias("_p")
-    # NULL segment (unrated customer) is a group too, so the join is null-safe
-    joined = s.join(p, F.col("_s.Risk_Segment").eqNullSafe(F.col("_p.Risk_Segment")), "left")
-    return joined.select("_s.*", *[F.col(f"_p.{c}") for c in pct.columns if c != "Risk_Segment"])
 
 
 def rule_hits(incoming: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
