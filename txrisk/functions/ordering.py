@@ -2,8 +2,9 @@
 
 A report sorted only on a non-unique key (a count, a customer) is not reproducible, and
 range partitioning puts every tie into one task. Adding the remaining output columns
-as tie-breakers gives a total order over distinct rows and lets the range partitioner
-split ties across tasks.
+as tie-breakers gives a total order over distinct rows; a last key on the row's id
+(partition index and position, stable for a given input) lets the range partitioner
+split even exact copies of one row across tasks.
 """
 
 from __future__ import annotations
@@ -19,4 +20,4 @@ def total_order(df: DataFrame, *first: str, desc: Iterable[str] = ()) -> DataFra
     desc = set(desc)
     keys = [F.col(c).desc_nulls_last() if c in desc else F.col(c).asc_nulls_first() for c in first]
     keys += [F.col(c).asc_nulls_first() for c in df.columns if c not in first]
-    return df.orderBy(*keys)
+    return df.orderBy(*keys, F.monotonically_increasing_id())

@@ -36,10 +36,11 @@ def country_rows(tx: DataFrame, countries: Sequence[str]) -> DataFrame:
 def customers_with_country(tx: DataFrame, countries: Sequence[str], order: bool = True) -> DataFrame:
     """Every row of the customers with at least one row in ``countries`` (E5, E6).
 
-    ``IN (sub-query)`` as a left semi join: the probe side is never duplicated, and AQE
-    broadcasts the customer list only when its measured size is small.
+    ``IN (sub-query)`` as a left semi join: the probe side is never duplicated. The
+    customer list is deduplicated first (partial aggregation, so a hot customer's rows
+    collapse map-side), and AQE broadcasts it only when its measured size is small.
     """
-    seen = tx.where(F.col(CTRY).isin(list(countries))).select(ID)
+    seen = tx.where(F.col(CTRY).isin(list(countries))).select(ID).distinct()
     out = tx.select(*COLUMNS).join(seen, ID, "left_semi")
     return total_order(out, ID) if order else out
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
+from txrisk.functions.ordering import total_order
 from txrisk.functions.stats import percentile_name
 from txrisk.operators.features import alert_flag
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
@@ -38,7 +39,7 @@ def outlier_transactions(clean: DataFrame, thresholds: DataFrame, rating: DataFr
         "Risk_Segment",
         "TOTAL_Score",
     )
-    return out.orderBy(*OUTLIER_ORDER) if order else out
+    return total_order(out, *OUTLIER_ORDER) if order else out
 
 
 def top_outliers(outliers: DataFrame, k: int = DEFAULT.top_k) -> DataFrame:
