@@ -106,6 +106,9 @@ class RiskConfig:
     # Sketch size of the per-segment percentiles: exact while a segment has fewer than
     # accuracy/2 customers, rank error at most n/accuracy beyond; memory stays bounded.
     percentile_accuracy: int = 100_000
+    # Broadcast the per-(customer, sign) thresholds only when the materialised profile has
+    # at most this many rows (about 60 bytes each once hashed); above it, shuffle join.
+    threshold_broadcast_rows: int = 100_000
     # Options that are off by default (the rules as published do not use them).
     min_group_size: int = 1  # groups smaller than this never alert
     normalize_strings: bool = False  # upper(trim()) country, initcap(trim()) sign at load

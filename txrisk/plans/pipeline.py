@@ -12,15 +12,18 @@ Physical shape (at any scale):
 4. ``rating`` = features LEFT JOIN alerts on customer: both sides are already hash
    partitioned on the customer, so the join adds no exchange.
 
-Nothing is broadcast by hint: thresholds and ratings grow with the customer count, and
-AQE broadcasts a side only after measuring it below the configured limit.
+Thresholds and ratings grow with the customer count, so nothing is broadcast on a
+guess. The profile's row count is measured while it is written (an observation of the
+checkpoint job, no extra pass); only when it is at most ``threshold_broadcast_rows``
+are the thresholds broadcast, which removes the fact-row shuffle of step 3. Otherwise
+the shuffle join stands, and AQE may still broadcast after measuring at runtime.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
@@ -38,11 +41,19 @@ class RiskRun:
         self.raw = raw.select(*COLUMNS)
         self.clean = clean(self.raw)
         profile = feat.customer_profile(self.clean, cfg)
-        self.profile = materialize(profile) if checkpoint else profile
+        self.profile_rows: int | None = None
+        if checkpoint:
+            seen = Observation("txrisk_profile")
+            self.profile = materialize(profile.observe(seen, F.count(F.lit(1)).alias("rows")))
+            self.profile_rows = seen.get["rows"]
+        else:
+            self.profile = profile
 
     @cached_property
     def thresholds(self) -> DataFrame:
-        return feat.sign_thresholds(self.profile, self.cfg)
+        thr = feat.sign_thresholds(self.profile, self.cfg)
+        small = self.profile_rows is not None and self.profile_rows <= self.cfg.threshold_broadcast_rows
+        return F.broadcast(thr) if small else thr
 
     @cached_property
     def features(self) -> DataFrame:
