@@ -103,7 +103,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     import __spark_entry__ as entry
 
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark = build_session("local[8]", 8)
     con = duck(sf)
     bad = 0

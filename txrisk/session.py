@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove reliable checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -43,13 +45,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder, setting it from ``spark.checkpoint.dir``.
 
     On a cluster the folder must be shared storage named by the session; only a local
-    session (tests, bench) may fall back to a fresh temporary folder.
+    session (tests, bench) may fall back to a fresh temporary folder. A remote (Connect)
+    session has no driver-side context here: the server's configured folder is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: checkpointing is configured on the server
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
