@@ -14,31 +14,42 @@ from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 OUTLIER_ORDER = ("deviation_amount", ID, SIGN, AMT, CTRY)
 
 
-def outlier_transactions(clean: DataFrame, thresholds: DataFrame, rating: DataFrame, order: bool = True) -> DataFrame:
-    """Clean rows strictly above their customer's threshold, with the customer's rating.
+def threshold_breaches(clean: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Clean rows strictly above their customer's threshold, with threshold and deviation.
 
     A row without a threshold can never pass ``threshold - amount < 0``, so the
-    threshold join is an inner join. The filter runs before the rating join, which
-    then only moves outlier rows. Sorted by deviation (most negative first) when
-    ``order``; ties are broken on the row values so the order is total.
+    threshold join is an inner join.
     """
     thr = F.col("threshold_single_transaction")
-    hits = (
+    return (
         clean.select(ID, SIGN, AMT, CTRY)
         .join(thresholds.select(ID, SIGN, "threshold_single_transaction"), [ID, SIGN], "inner")
         .where(thr - F.col(AMT) < 0)
+        .select(
+            ID,
+            SIGN,
+            AMT,
+            CTRY,
+            thr.alias("threshold_single_transaction"),
+            alert_flag(F.col(AMT), thr).alias("transaction_unusual_alert"),
+            (thr - F.col(AMT)).alias("deviation_amount"),
+        )
     )
-    out = hits.join(rating.select(ID, "Risk_Segment", "TOTAL_Score"), ID, "left").select(
-        ID,
-        SIGN,
-        AMT,
-        CTRY,
-        thr.alias("threshold_single_transaction"),
-        alert_flag(F.col(AMT), thr).alias("transaction_unusual_alert"),
-        (thr - F.col(AMT)).alias("deviation_amount"),
-        "Risk_Segment",
-        "TOTAL_Score",
-    )
+
+
+def with_rating(breaches: DataFrame, rating: DataFrame) -> DataFrame:
+    """Attach each customer's segment and total score."""
+    return breaches.join(rating.select(ID, "Risk_Segment", "TOTAL_Score"), ID, "left")
+
+
+def outlier_transactions(clean: DataFrame, thresholds: DataFrame, rating: DataFrame, order: bool = True) -> DataFrame:
+    """Clean rows strictly above their customer's threshold, with the customer's rating.
+
+    The filter runs before the rating join, which then only moves outlier rows. Sorted
+    by deviation (most negative first) when ``order``; ties are broken on the row
+    values so the order is total.
+    """
+    out = with_rating(threshold_breaches(clean, thresholds), rating)
     return total_order(out, *OUTLIER_ORDER) if order else out
 
 

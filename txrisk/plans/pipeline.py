@@ -83,7 +83,24 @@ class RiskRun:
         return rules.outlier_transactions(self.clean, self.thresholds, self.rating, order=order)
 
     def top_outliers(self, k: int | None = None) -> DataFrame:
-        return rules.top_outliers(self.outliers(order=False), k or self.cfg.top_k)
+        """The k heaviest deviations with their customers' ratings.
+
+        Only k customers need a rating, and a rating depends on the customer's own rows
+        only. So the k rows are materialised first and rated from the profile and raw
+        rows of those customers alone: the raw pass is a broadcast semi join (at most k
+        keys) instead of the full threshold join with its shuffle of every row.
+        """
+        top = materialize(rules.top_outliers(rules.threshold_breaches(self.clean, self.thresholds), k or self.cfg.top_k))
+        return rules.with_rating(top, self.rating_of(top))
+
+    def rating_of(self, customers: DataFrame) -> DataFrame:
+        """Ratings of a small, bounded set of customers (e.g. a top-k list)."""
+        keys = F.broadcast(customers.select(ID).distinct())
+        profile = self.profile.join(keys, ID, "left_semi")
+        raw = self.raw.join(keys, ID, "left_semi")
+        thresholds = F.broadcast(feat.sign_thresholds(profile, self.cfg))
+        wide = rat.risk_features_wide(feat.customer_features(profile, self.cfg), feat.unusual_alerts(raw, thresholds))
+        return rat.risk_rating(rat.risk_points(wide, self.cfg), self.cfg)
 
     @cached_property
     def incoming(self) -> DataFrame:
