@@ -1,7 +1,7 @@
 """Exact order statistics (median, percentiles) without gathering a group in one task.
 
-Spark's exact ``percentile`` buffers every value of a group in one task, and a global
-median is one group holding the whole table. Here the values are first counted per
+Spark's exact ``percentile`` keeps a map of every distinct value of a group in the
+task that finishes the group, and a global median is one group over the whole table. Here the values are first counted per
 distinct value (partial aggregation shrinks hot values and exact copies), then each
 wanted rank is located by radix select: a histogram over the high bits finds the
 bucket holding the rank, the next bits refine inside that bucket, and so on. A window
