@@ -91,14 +91,15 @@ class RiskRun:
         keys) instead of the full threshold join with its shuffle of every row.
         """
         top = materialize(rules.top_outliers(rules.threshold_breaches(self.clean, self.thresholds), k or self.cfg.top_k))
-        return rules.with_rating(top, self.rating_of(top))
+        return rules.with_rating(top, self._rating_of_top(top))
 
-    def rating_of(self, customers: DataFrame) -> DataFrame:
-        """Ratings of a small, bounded set of customers (e.g. a top-k list)."""
-        keys = F.broadcast(customers.select(ID).distinct())
+    def _rating_of_top(self, top: DataFrame) -> DataFrame:
+        """Ratings of the customers of a materialised top-k list: at most k keys, the
+        only broadcast here. Their thresholds are left to AQE, which measures them."""
+        keys = F.broadcast(top.select(ID).distinct())
         profile = self.profile.join(keys, ID, "left_semi")
         raw = self.raw.join(keys, ID, "left_semi")
-        thresholds = F.broadcast(feat.sign_thresholds(profile, self.cfg))
+        thresholds = feat.sign_thresholds(profile, self.cfg)
         wide = rat.risk_features_wide(feat.customer_features(profile, self.cfg), feat.unusual_alerts(raw, thresholds))
         return rat.risk_rating(rat.risk_points(wide, self.cfg), self.cfg)
 
