@@ -71,3 +71,12 @@ def test_hot_customer_is_split_and_results_hold(spark, skewed):
     assert rows == plain
     hot = [r for r in rows if r[0] == 1][0]
     assert hot[1] == 10000
+
+
+def test_small_threshold_table_is_broadcast(spark, skewed):
+    # the measured profile is small: the alert test reads raw rows where they are, so a
+    # hot customer never meets one reducer
+    alerts = RiskRun(skewed).alerts
+    alerts.collect()
+    plan = alerts._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

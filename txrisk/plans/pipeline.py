@@ -15,8 +15,9 @@ Physical shape (at any scale):
 Thresholds and ratings grow with the customer count, so nothing is broadcast on a
 guess. The profile's row count is measured while it is written (an observation of the
 checkpoint job, no extra pass); only when it is at most ``threshold_broadcast_rows``
-are the thresholds broadcast, which removes the fact-row shuffle of step 3. Otherwise
-the shuffle join stands, and AQE may still broadcast after measuring at runtime.
+are the thresholds broadcast (unless the session turns broadcast joins off), which
+removes the fact-row shuffle of step 3. Otherwise the shuffle join stands, and AQE may
+still broadcast after measuring at runtime.
 """
 
 from __future__ import annotations
@@ -52,8 +53,10 @@ class RiskRun:
     @cached_property
     def thresholds(self) -> DataFrame:
         thr = feat.sign_thresholds(self.profile, self.cfg)
+        # a session that turns broadcast joins off (threshold -1) is obeyed
+        enabled = not str(self.raw.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "1")).startswith("-")
         small = self.profile_rows is not None and self.profile_rows <= self.cfg.threshold_broadcast_rows
-        return F.broadcast(thr) if small else thr
+        return F.broadcast(thr) if (enabled and small) else thr
 
     @cached_property
     def features(self) -> DataFrame:
