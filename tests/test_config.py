@@ -6,7 +6,7 @@ from pathlib import Path
 from micro import micro_df
 
 from txrisk.config import RiskConfig
-from txrisk.plans.pipeline import RiskRun
+from txrisk.plans.riskrun import RiskRun
 from txrisk.sources.ingest import read_transactions
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators import explore as ex
 from txrisk.operators import quality as q
-from txrisk.plans.pipeline import RiskRun
+from txrisk.plans.riskrun import RiskRun
 from txrisk.sources.fixtures import tx_lines, tx_orders
 
 

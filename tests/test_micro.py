@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators.rating import POINT_COLUMNS
 from txrisk.plans.oracle import oracle_on
-from txrisk.plans.pipeline import RiskRun
+from txrisk.plans.riskrun import RiskRun
 from txrisk.plans.registry import BUILDERS, NO_ORACLE, run_on
 from txrisk.sources.ingest import clean
 

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from txrisk.operators import explore as ex
 from txrisk.operators import features as feat
 from txrisk.operators import quality as q
-from txrisk.plans.pipeline import RiskRun
+from txrisk.plans.riskrun import RiskRun
 
 
 def _plan(df) -> str:

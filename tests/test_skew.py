@@ -9,7 +9,7 @@ import random
 
 import pytest
 
-from txrisk.plans.pipeline import RiskRun
+from txrisk.plans.riskrun import RiskRun
 from txrisk.sources.schema import TRANSACTION_SCHEMA
 
 SKEW_CONF = {

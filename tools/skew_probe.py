@@ -23,7 +23,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from txrisk.plans.pipeline import RiskRun  # noqa: E402
+from txrisk.plans.riskrun import RiskRun  # noqa: E402
 from txrisk.session import build_session, ensure_checkpoint_dir  # noqa: E402
 from txrisk.sources.fixtures import tx_lines  # noqa: E402
 from txrisk.sources.schema import ID  # noqa: E402

@@ -16,7 +16,7 @@ from txrisk.config import DEFAULT
 from txrisk.operators import explore as ex
 from txrisk.operators import features as feat
 from txrisk.operators import quality as q
-from txrisk.plans.pipeline import RiskRun, rate_customer
+from txrisk.plans.riskrun import RiskRun, rate_customer
 from txrisk.sources.fixtures import FIXTURES
 from txrisk.sources.ingest import clean
 
@@ -96,7 +96,8 @@ BUILDERS: dict[str, Builder] = {
     "credit_debit_ratio": _clean(feat.credit_debit_ratio),
     "credit_debit_count_ratio": _clean(feat.credit_debit_count_ratio),
     "sign_thresholds": _clean(feat.sign_thresholds),
-    "unusual_alerts": _run(lambda r: r.alerts),
+    # one consumer of the profile (the thresholds): a single lazy job, no checkpoint
+    "unusual_alerts": _raw(lambda tx: feat.unusual_alerts(tx, feat.sign_thresholds(clean(tx)))),
     "customer_base": _clean(feat.customer_base),
     # rating (R8-R12)
     "risk_features_wide": _run(lambda r: r.wide),
