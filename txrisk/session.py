@@ -33,8 +33,11 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, mini
     return max(minimum, -(-input_bytes // target_bytes))
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "txrisk", **extra) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = "local[*]", shuffle_partitions: int = 8, app: str = "txrisk", **extra) -> SparkSession:
+    """A session with the package's settings. ``master=None`` keeps the one spark-submit set."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update({k: str(v) for k, v in extra.items()})
