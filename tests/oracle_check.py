@@ -33,6 +33,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type -> the DuckDB type the oracle must produce for the same column
+EXACT_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _kind(dtype) -> str:
     s = str(dtype).lower()
     if "int" in s:
@@ -75,7 +79,9 @@ def compare_frames(sdf, rel) -> dict:
     res = {"rows": (len(left), len(right)), "cols_match": sorted(left.columns) == sorted(right.columns)}
     if res["cols_match"]:
         res["type_mismatch"] = {
-            c: (spark_types[c], duck_types[c]) for c in left.columns if _kind(spark_types[c]) != _kind(duck_types[c])
+            c: (spark_types[c], duck_types[c])
+            for c in left.columns
+            if EXACT_TYPES.get(spark_types[c], spark_types[c]) != duck_types[c]
         }
         res["hash_match"] = value_hash(left) == value_hash(right)
     else:
