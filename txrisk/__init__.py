@@ -9,5 +9,17 @@ Layout:
 """
 
 from txrisk.config import DEFAULT, RiskConfig
+from txrisk.plans.riskrun import RiskRun, rate_customer, rate_customers
+from txrisk.sources.ingest import clean, ingest_transactions, read_ingested, read_transactions
 
-__all__ = ["DEFAULT", "RiskConfig"]
+__all__ = [
+    "DEFAULT",
+    "RiskConfig",
+    "RiskRun",
+    "clean",
+    "ingest_transactions",
+    "rate_customer",
+    "rate_customers",
+    "read_ingested",
+    "read_transactions",
+]
