@@ -72,3 +72,18 @@ def test_write_result_csv_roundtrip(spark):
     write_result(df, out, fmt="csv")
     back = spark.read.option("header", True).option("sep", ";").csv(out)
     assert back.select(F.col("TransactionCountry")).first()[0] == "FI"
+
+
+def test_streaming_completeness_log(spark):
+    from txrisk.streaming.ingest import start_completeness_log
+
+    src = _write(LINES)
+    out = tempfile.mkdtemp(prefix="txrisk-compl-") + "/log"
+    ckpt = tempfile.mkdtemp(prefix="txrisk-cckpt-")
+    start_completeness_log(spark, src, out, ckpt).awaitTermination(120)
+    _write(["8;Debit;-20;SE"], src)
+    start_completeness_log(spark, src, out, ckpt).awaitTermination(120)  # restart: only the new file
+    log = spark.read.parquet(out)
+    totals = log.agg(F.sum("total_records"), F.sum("quarantined_records"), F.sum("total_abs_amount")).first()
+    assert tuple(totals) == (len(LINES) + 1, 4, 100 + 3 + 20)
+    assert log.select("batch_id").distinct().count() == 2

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.session import ensure_checkpoint_dir
 from txrisk.sources.ingest import STATUS, normalize, quarantine_reason
-from txrisk.sources.schema import CORRUPT, READ_SCHEMA
+from txrisk.sources.schema import AMT, CORRUPT, READ_SCHEMA
 
 
 def stream_transactions(
@@ -62,3 +62,37 @@ def start_ingest(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
+
+
+def start_completeness_log(
+    spark: SparkSession,
+    src_dir: str,
+    out_dir: str,
+    checkpoint_location: str | None = None,
+    sep: str = ";",
+    cfg: RiskConfig = DEFAULT,
+    available_now: bool = True,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    """Import completeness per micro-batch of new files: lines read, lines quarantined,
+    and the absolute amount of the good lines.
+
+    The counts are one global aggregate per batch, computed by the cluster. Each batch
+    writes ``out_dir/batch_id=<n>`` in overwrite mode, so a batch replayed after a
+    failure replaces its own record instead of adding a second one.
+    """
+    location = checkpoint_location or f"{ensure_checkpoint_dir(spark)}/completeness-{uuid.uuid4().hex}"
+    good = F.col(STATUS) == "good"
+
+    def record(batch: DataFrame, batch_id: int) -> None:
+        batch.agg(
+            F.count(F.lit(1)).alias("total_records"),
+            F.count(F.when(~good, 1)).alias("quarantined_records"),
+            F.sum(F.when(good, F.abs(F.col(AMT)))).alias("total_abs_amount"),
+        ).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+
+    writer = stream_transactions(spark, src_dir, sep, cfg).writeStream.foreachBatch(record).option(
+        "checkpointLocation", location
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
