@@ -63,14 +63,20 @@ def micro_df(spark):
 
 
 def micro_values_sql() -> str:
+    return values_sql(MICRO_ROWS)
+
+
+def values_sql(rows) -> str:
+    """DuckDB SELECT over literal transaction rows, typed like the declared schema."""
+
     def lit(v):
         if v is None:
             return "NULL"
         return f"'{v}'" if isinstance(v, str) else str(v)
 
-    rows = ",\n".join(f"({', '.join(lit(v) for v in r)})" for r in MICRO_ROWS)
+    body = ",\n".join(f"({', '.join(lit(v) for v in r)})" for r in rows)
     return (
         "SELECT CAST(CustomerID AS INTEGER) AS CustomerID, CAST(TransactionSign AS VARCHAR) AS TransactionSign,"
         " CAST(TransactionAmount AS INTEGER) AS TransactionAmount, CAST(TransactionCountry AS VARCHAR) AS TransactionCountry"
-        f" FROM (VALUES {rows}) v(CustomerID, TransactionSign, TransactionAmount, TransactionCountry)"
+        f" FROM (VALUES {body}) v(CustomerID, TransactionSign, TransactionAmount, TransactionCountry)"
     )
