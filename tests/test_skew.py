@@ -80,3 +80,39 @@ def test_small_threshold_table_is_broadcast(spark, skewed):
     alerts.collect()
     plan = alerts._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+SALT_CONF = {
+    "spark.sql.adaptive.skewJoin.enabled": "false",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def test_explicit_salting_when_aqe_skew_handling_is_off(spark, skewed):
+    from pyspark.sql import functions as F
+
+    from txrisk.config import RiskConfig
+    from txrisk.functions.skew import salted_join
+
+    plain = RiskRun(skewed)
+    want_alerts = sorted(tuple(r) for r in plain.alerts.collect())
+    want_outliers = sorted((tuple(r) for r in plain.outliers(order=False).collect()), key=repr)
+
+    def salted_run():
+        run = RiskRun(skewed, RiskConfig(hot_key_rows=1000))
+        hot = {(r[0], r[1]): r[2] for r in run.hot.collect()}
+        alerts = sorted(tuple(r) for r in run.alerts.collect())
+        outliers = sorted((tuple(r) for r in run.outliers(order=False).collect()), key=repr)
+        facts = skewed.select("CustomerID", "TransactionSign", "TransactionAmount")
+        dims = run.thresholds.select("CustomerID", "TransactionSign", "threshold_single_transaction")
+        per_task = salted_join(facts, dims, run.hot, "left").groupBy(F.spark_partition_id()).count().collect()
+        return hot, alerts, outliers, max(r[1] for r in per_task)
+
+    hot, alerts, outliers, biggest_task = _with_conf(spark, SALT_CONF, salted_run)
+    assert hot == {(1, "Credit"): 10}  # 10 000 rows over a cut of 1 000
+    assert alerts == want_alerts
+    assert outliers == want_outliers
+    assert biggest_task < 5000  # unsalted, one task would hold the hot key's 10 000 rows

@@ -109,6 +109,12 @@ class RiskConfig:
     # Broadcast the per-(customer, sign) thresholds only when the materialised profile has
     # at most this many rows (about 60 bytes each once hashed); above it, shuffle join.
     threshold_broadcast_rows: int = 100_000
+    # Explicit hot-key salting of the threshold joins: None = only when the session has
+    # AQE skew-join handling off. A (customer, sign) group above the cut is spread over
+    # ceil(rows / cut) salts; the cut is raised so that at most max_hot_keys groups pass.
+    salt_hot_keys: bool | None = None
+    hot_key_rows: int = 10_000_000
+    max_hot_keys: int = 100_000
     # Options that are off by default (the rules as published do not use them).
     min_group_size: int = 1  # groups smaller than this never alert
     normalize_strings: bool = False  # upper(trim()) country, initcap(trim()) sign at load

@@ -1,0 +1,56 @@
+"""Explicit hot-key splitting for joins of fact rows with per-(customer, sign) rows.
+
+AQE splits a skewed shuffle partition at runtime when skew-join handling is enabled.
+When a session turns it off, a customer holding a third of all rows would meet one
+reducer. Then the hot keys, read from the profile's exact counts, are spread instead:
+each hot key's fact rows get a salt in [0, salts), and its single dimension row is
+replicated once per salt, so the join key (customer, sign, salt) spreads the hot key
+over ``salts`` tasks and every fact row still meets exactly one dimension row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from txrisk.sources.schema import ID, SIGN
+
+SALTS = "_salts"
+SALT = "_salt"
+
+
+def hot_keys(profile: DataFrame, total_rows: int, hot_rows: int, max_keys: int) -> DataFrame:
+    """(customer, sign, salts) for groups above the hot cut.
+
+    The cut is at least ``total_rows / max_keys``, so at most ``max_keys`` groups can
+    pass it: the table has a proven size bound and is broadcast.
+    """
+    cut = max(hot_rows, -(-total_rows // max_keys))
+    hot = profile.where(F.col("n_rows") > cut).select(
+        ID, SIGN, F.ceil(F.col("n_rows") / F.lit(cut)).cast("int").alias(SALTS)
+    )
+    return F.broadcast(hot)
+
+
+def salted_join(facts: DataFrame, dims: DataFrame, hot: DataFrame, how: str) -> DataFrame:
+    """``facts`` JOIN ``dims`` on (customer, sign) with hot keys spread over salts.
+
+    The salt of a fact row comes from its position in the input (stable for a given
+    input, so a retried task salts the same way), which spreads even exact copies.
+    """
+    salted_facts = (
+        facts.join(hot, [ID, SIGN], "left")
+        .withColumn(
+            SALT,
+            F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
+                F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(SALTS)).cast("int")
+            ),
+        )
+        .drop(SALTS)
+    )
+    salted_dims = (
+        dims.join(hot, [ID, SIGN], "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
+        .drop(SALTS)
+    )
+    return salted_facts.join(salted_dims, [ID, SIGN, SALT], how).drop(SALT)

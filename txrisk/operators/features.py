@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.scoring import flag, frequency_score, ratio_or_sentinel, threshold_columns
+from txrisk.functions.skew import salted_join
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 
 PROFILE_MARKER = "n_rows"
@@ -176,16 +177,17 @@ def alert_flag(amount: Column, threshold: Column) -> Column:
     return flag(amount >= threshold)
 
 
-def unusual_alerts(raw: DataFrame, thresholds: DataFrame) -> DataFrame:
+def unusual_alerts(raw: DataFrame, thresholds: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Per customer of the raw table: rows, and rows at or above their own threshold.
 
     The probe side is the raw table, as published: non-positive rows count in the total.
     The join is followed by an exchange on CustomerID, so AQE may split a skewed
     (customer, sign) partition of the probe side; partial aggregation then shrinks it.
+    With ``hot`` (see :mod:`txrisk.functions.skew`) hot keys are salted explicitly.
     """
-    j = raw.select(ID, SIGN, AMT).join(
-        thresholds.select(ID, SIGN, "threshold_single_transaction"), [ID, SIGN], "left"
-    )
+    facts = raw.select(ID, SIGN, AMT)
+    dims = thresholds.select(ID, SIGN, "threshold_single_transaction")
+    j = salted_join(facts, dims, hot, "left") if hot is not None else facts.join(dims, [ID, SIGN], "left")
     return j.groupBy(ID).agg(
         F.count(F.col(ID)).alias("total_num_transactions"),
         F.sum(alert_flag(F.col(AMT), F.col("threshold_single_transaction"))).alias("num_unusual_transactions"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
+from txrisk.functions.skew import salted_join
 from txrisk.functions.stats import percentile_name
 from txrisk.operators.features import alert_flag
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
@@ -14,17 +15,18 @@ from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 OUTLIER_ORDER = ("deviation_amount", ID, SIGN, AMT, CTRY)
 
 
-def threshold_breaches(clean: DataFrame, thresholds: DataFrame) -> DataFrame:
+def threshold_breaches(clean: DataFrame, thresholds: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Clean rows strictly above their customer's threshold, with threshold and deviation.
 
     A row without a threshold can never pass ``threshold - amount < 0``, so the
-    threshold join is an inner join.
+    threshold join is an inner join. With ``hot``, hot keys are salted explicitly.
     """
     thr = F.col("threshold_single_transaction")
+    facts = clean.select(ID, SIGN, AMT, CTRY)
+    dims = thresholds.select(ID, SIGN, "threshold_single_transaction")
+    joined = salted_join(facts, dims, hot, "inner") if hot is not None else facts.join(dims, [ID, SIGN], "inner")
     return (
-        clean.select(ID, SIGN, AMT, CTRY)
-        .join(thresholds.select(ID, SIGN, "threshold_single_transaction"), [ID, SIGN], "inner")
-        .where(thr - F.col(AMT) < 0)
+        joined.where(thr - F.col(AMT) < 0)
         .select(
             ID,
             SIGN,
@@ -42,14 +44,16 @@ def with_rating(breaches: DataFrame, rating: DataFrame) -> DataFrame:
     return breaches.join(rating.select(ID, "Risk_Segment", "TOTAL_Score"), ID, "left")
 
 
-def outlier_transactions(clean: DataFrame, thresholds: DataFrame, rating: DataFrame, order: bool = True) -> DataFrame:
+def outlier_transactions(
+    clean: DataFrame, thresholds: DataFrame, rating: DataFrame, order: bool = True, hot: DataFrame | None = None
+) -> DataFrame:
     """Clean rows strictly above their customer's threshold, with the customer's rating.
 
     The filter runs before the rating join, which then only moves outlier rows. Sorted
     by deviation (most negative first) when ``order``; ties are broken on the row
     values so the order is total.
     """
-    out = with_rating(threshold_breaches(clean, thresholds), rating)
+    out = with_rating(threshold_breaches(clean, thresholds, hot), rating)
     return total_order(out, *OUTLIER_ORDER) if order else out
 
 

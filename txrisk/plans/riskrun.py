@@ -17,7 +17,8 @@ guess. The profile's row count is measured while it is written (an observation o
 checkpoint job, no extra pass); only when it is at most ``threshold_broadcast_rows``
 are the thresholds broadcast (unless the session turns broadcast joins off), which
 removes the fact-row shuffle of step 3. Otherwise the shuffle join stands, and AQE may
-still broadcast after measuring at runtime.
+still broadcast after measuring at runtime. If the session has AQE skew-join handling
+off, hot (customer, sign) keys are salted explicitly (:mod:`txrisk.functions.skew`).
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
+from txrisk.functions.skew import hot_keys
 from txrisk.operators import features as feat
 from txrisk.operators import rating as rat
 from txrisk.operators import rules
@@ -43,20 +45,48 @@ class RiskRun:
         self.clean = clean(self.raw)
         profile = feat.customer_profile(self.clean, cfg)
         self.profile_rows: int | None = None
+        self.clean_rows: int | None = None
         if checkpoint:
             seen = Observation("txrisk_profile")
-            self.profile = materialize(profile.observe(seen, F.count(F.lit(1)).alias("rows")))
+            self.profile = materialize(
+                profile.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum("n_rows").alias("clean_rows"))
+            )
             self.profile_rows = seen.get["rows"]
+            self.clean_rows = seen.get["clean_rows"] or 0
         else:
             self.profile = profile
 
+    def _conf(self, key: str, default: str) -> str:
+        return str(self.raw.sparkSession.conf.get(key, default)).strip().lower()
+
     @cached_property
-    def thresholds(self) -> DataFrame:
-        thr = feat.sign_thresholds(self.profile, self.cfg)
+    def _broadcast_thresholds(self) -> bool:
         # a session that turns broadcast joins off (threshold -1) is obeyed
-        enabled = not str(self.raw.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "1")).startswith("-")
+        enabled = not self._conf("spark.sql.autoBroadcastJoinThreshold", "1").startswith("-")
         small = self.profile_rows is not None and self.profile_rows <= self.cfg.threshold_broadcast_rows
-        return F.broadcast(thr) if (enabled and small) else thr
+        return enabled and small
+
+    @cached_property
+    def thresholds(self) -> DataFrame:
+        thr = feat.sign_thresholds(self.profile, self.cfg)
+        return F.broadcast(thr) if self._broadcast_thresholds else thr
+
+    @cached_property
+    def hot(self) -> DataFrame | None:
+        """Hot (customer, sign) keys to salt in the threshold joins, or None.
+
+        Not needed when the thresholds are broadcast (fact rows are not shuffled) or when
+        AQE splits skewed partitions itself; ``cfg.salt_hot_keys`` overrides the choice.
+        """
+        if self.clean_rows is None or self._broadcast_thresholds:
+            return None
+        wanted = self.cfg.salt_hot_keys
+        if wanted is None:
+            aqe = self._conf("spark.sql.adaptive.enabled", "true") == "true"
+            wanted = not (aqe and self._conf("spark.sql.adaptive.skewJoin.enabled", "true") == "true")
+        if not wanted:
+            return None
+        return hot_keys(self.profile, self.clean_rows, self.cfg.hot_key_rows, self.cfg.max_hot_keys)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -64,7 +94,7 @@ class RiskRun:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return feat.unusual_alerts(self.raw, self.thresholds)
+        return feat.unusual_alerts(self.raw, self.thresholds, self.hot)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -83,7 +113,7 @@ class RiskRun:
         return rat.segment_summary(self.rating)
 
     def outliers(self, order: bool = True) -> DataFrame:
-        return rules.outlier_transactions(self.clean, self.thresholds, self.rating, order=order)
+        return rules.outlier_transactions(self.clean, self.thresholds, self.rating, order=order, hot=self.hot)
 
     def top_outliers(self, k: int | None = None) -> DataFrame:
         """The k heaviest deviations with their customers' ratings.
@@ -93,7 +123,8 @@ class RiskRun:
         rows of those customers alone: the raw pass is a broadcast semi join (at most k
         keys) instead of the full threshold join with its shuffle of every row.
         """
-        top = materialize(rules.top_outliers(rules.threshold_breaches(self.clean, self.thresholds), k or self.cfg.top_k))
+        breaches = rules.threshold_breaches(self.clean, self.thresholds, self.hot)
+        top = materialize(rules.top_outliers(breaches, k or self.cfg.top_k))
         return rules.with_rating(top, self._rating_of_top(top))
 
     def _rating_of_top(self, top: DataFrame) -> DataFrame:
