@@ -116,3 +116,19 @@ def test_explicit_salting_when_aqe_skew_handling_is_off(spark, skewed):
     assert alerts == want_alerts
     assert outliers == want_outliers
     assert biggest_task < 5000  # unsalted, one task would hold the hot key's 10 000 rows
+
+
+def test_semi_join_salting_when_aqe_skew_handling_is_off(spark, skewed):
+    from txrisk.config import RiskConfig
+    from txrisk.operators.explore import customers_with_country
+
+    want = sorted((tuple(r) for r in customers_with_country(skewed, ["RO"], order=False).collect()), key=repr)
+
+    def salted():
+        df = customers_with_country(skewed, ["RO"], order=False, cfg=RiskConfig(hot_key_rows=1000))
+        rows = sorted((tuple(r) for r in df.collect()), key=repr)
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+
+    rows, plan = _with_conf(spark, SALT_CONF, salted)
+    assert rows == want
+    assert "_salt" in plan and "LeftSemi" in plan

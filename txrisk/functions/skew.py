@@ -1,4 +1,4 @@
-"""Explicit hot-key splitting for joins of fact rows with per-(customer, sign) rows.
+"""Explicit hot-key splitting for joins of fact rows with per-customer rows.
 
 AQE splits a skewed shuffle partition at runtime when skew-join handling is enabled.
 When a session turns it off, a customer holding a third of all rows would meet one
@@ -54,3 +54,45 @@ def salted_join(facts: DataFrame, dims: DataFrame, hot: DataFrame, how: str) ->
         .drop(SALTS)
     )
     return salted_facts.join(salted_dims, [ID, SIGN, SALT], how).drop(SALT)
+
+
+def hot_customers(facts: DataFrame, hot_rows: int, max_keys: int) -> DataFrame:
+    """(customer, salts) for the customers with more than ``hot_rows`` rows.
+
+    The list is the top ``max_keys`` customers by row count (a top-k, so bounded by
+    construction) and is broadcast. Counting is partially aggregated map-side.
+    """
+    counts = facts.where(F.col(ID).isNotNull()).groupBy(ID).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(max_keys)
+    return F.broadcast(top.select(ID, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(SALTS)))
+
+
+def salted_semi_join(facts: DataFrame, keys: DataFrame, hot: DataFrame) -> DataFrame:
+    """``facts`` LEFT SEMI JOIN ``keys`` on the customer, hot customers spread over salts."""
+    salted_facts = (
+        facts.join(hot, [ID], "left")
+        .withColumn(
+            SALT,
+            F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
+                F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(SALTS)).cast("int")
+            ),
+        )
+        .drop(SALTS)
+    )
+    salted_keys = (
+        keys.select(ID)
+        .join(hot, [ID], "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
+        .drop(SALTS)
+    )
+    return salted_facts.join(salted_keys, [ID, SALT], "left_semi").drop(SALT)
+
+
+def aqe_splits_skew(df: DataFrame) -> bool:
+    """Whether the session lets AQE split skewed join partitions."""
+    conf = df.sparkSession.conf
+
+    def on(key: str) -> bool:
+        return str(conf.get(key, "true")).strip().lower() == "true"
+
+    return on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")

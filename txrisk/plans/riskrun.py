@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.functions.skew import hot_keys
+from txrisk.functions.skew import aqe_splits_skew, hot_keys
 from txrisk.operators import features as feat
 from txrisk.operators import rating as rat
 from txrisk.operators import rules
@@ -82,8 +82,7 @@ class RiskRun:
             return None
         wanted = self.cfg.salt_hot_keys
         if wanted is None:
-            aqe = self._conf("spark.sql.adaptive.enabled", "true") == "true"
-            wanted = not (aqe and self._conf("spark.sql.adaptive.skewJoin.enabled", "true") == "true")
+            wanted = not aqe_splits_skew(self.raw)
         if not wanted:
             return None
         return hot_keys(self.profile, self.clean_rows, self.cfg.hot_key_rows, self.cfg.max_hot_keys)
