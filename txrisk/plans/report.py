@@ -6,6 +6,9 @@ expensive part of the rating (features plus the alert pass) is written once as
 rating then read tables instead of recomputing the alert pass.
 
     python -m txrisk.plans.report /data/transactions.txt /data/out
+
+The text file is parsed once into ``out/loaded`` (parquet split by load status, the
+quarantined lines included); every result then reads that table.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from txrisk.config import DEFAULT, RiskConfig
 from txrisk.operators import explore, quality, rules
 from txrisk.operators import rating as rat
 from txrisk.plans.riskrun import RiskRun
-from txrisk.sources.ingest import clean, read_transactions
+from txrisk.sources.ingest import clean, ingest_transactions, read_ingested
 from txrisk.sources.sinks import write_result
 
 
@@ -62,9 +65,12 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(master=None, shuffle_partitions=args.shuffle_partitions)
     ensure_checkpoint_dir(spark)
-    tx, quarantine = read_transactions(spark, args.input, args.sep)
-    write_result(quarantine, f"{args.out.rstrip('/')}/quarantine", args.format)
-    for name, path in run_report(spark, tx, args.out, fmt=args.format).items():
+    # Parse the text once: good and quarantined lines land in one parquet folder split
+    # by load status, and every result then reads pruned columns from parquet.
+    loaded = f"{args.out.rstrip('/')}/loaded"
+    ingest_transactions(spark, args.input, loaded, args.sep)
+    print(f"loaded\t{loaded}")
+    for name, path in run_report(spark, read_ingested(spark, loaded), args.out, fmt=args.format).items():
         print(f"{name}\t{path}")
 
 
