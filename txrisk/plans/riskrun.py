@@ -39,6 +39,16 @@ from txrisk.sources.schema import COLUMNS, ID
 
 
 class RiskRun:
+    """The rating of one raw transaction table, with everything built on it.
+
+    Constructing it runs one job: the customer profile is aggregated and written to the
+    reliable checkpoint folder (skip with ``checkpoint=False`` for tiny inputs such as
+    one customer). Every attribute after that is a lazy DataFrame:
+    ``thresholds``, ``features``, ``alerts``, ``wide``, ``points``, ``rating``,
+    ``segment_summary``, ``outliers()``, ``top_outliers()``, ``incoming``,
+    ``segment_thresholds`` and ``rule_hits``.
+    """
+
     def __init__(self, raw: DataFrame, cfg: RiskConfig = DEFAULT, checkpoint: bool = True):
         self.cfg = cfg
         self.raw = raw.select(*COLUMNS)
