@@ -32,14 +32,23 @@ def hot_keys(profile: DataFrame, total_rows: int, hot_rows: int, max_keys: int)
     return F.broadcast(hot)
 
 
-def salted_join(facts: DataFrame, dims: DataFrame, hot: DataFrame, how: str) -> DataFrame:
-    """``facts`` JOIN ``dims`` on (customer, sign) with hot keys spread over salts.
+def hot_customer_keys(hot: DataFrame) -> DataFrame:
+    """Roll a hot (customer, sign) list up to hot customers (no larger than the input)."""
+    return F.broadcast(hot.groupBy(ID).agg(F.max(SALTS).alias(SALTS)))
 
-    The salt of a fact row comes from its position in the input (stable for a given
-    input, so a retried task salts the same way), which spreads even exact copies.
+
+def salted_join(
+    facts: DataFrame, dims: DataFrame, hot: DataFrame, how: str, keys: tuple[str, ...] = (ID, SIGN)
+) -> DataFrame:
+    """``facts`` JOIN ``dims`` on ``keys`` with hot keys spread over salts.
+
+    ``dims`` has one row per key. The salt of a fact row comes from its position in the
+    input (stable for a given input, so a retried task salts the same way), which
+    spreads even exact copies.
     """
+    keys = list(keys)
     salted_facts = (
-        facts.join(hot, [ID, SIGN], "left")
+        facts.join(hot, keys, "left")
         .withColumn(
             SALT,
             F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
@@ -49,11 +58,11 @@ def salted_join(facts: DataFrame, dims: DataFrame, hot: DataFrame, how: str) ->
         .drop(SALTS)
     )
     salted_dims = (
-        dims.join(hot, [ID, SIGN], "left")
+        dims.join(hot, keys, "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
         .drop(SALTS)
     )
-    return salted_facts.join(salted_dims, [ID, SIGN, SALT], how).drop(SALT)
+    return salted_facts.join(salted_dims, [*keys, SALT], how).drop(SALT)
 
 
 def hot_customers(facts: DataFrame, hot_rows: int, max_keys: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
-from txrisk.functions.skew import salted_join
+from txrisk.functions.skew import hot_customer_keys, salted_join
 from txrisk.functions.stats import percentile_name
 from txrisk.operators.features import alert_flag
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
@@ -39,9 +39,12 @@ def threshold_breaches(clean: DataFrame, thresholds: DataFrame, hot: DataFrame |
     )
 
 
-def with_rating(breaches: DataFrame, rating: DataFrame) -> DataFrame:
-    """Attach each customer's segment and total score."""
-    return breaches.join(rating.select(ID, "Risk_Segment", "TOTAL_Score"), ID, "left")
+def with_rating(breaches: DataFrame, rating: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Attach each customer's segment and total score (hot customers salted if ``hot``)."""
+    scores = rating.select(ID, "Risk_Segment", "TOTAL_Score")
+    if hot is not None:
+        return salted_join(breaches, scores, hot_customer_keys(hot), "left", keys=(ID,))
+    return breaches.join(scores, ID, "left")
 
 
 def outlier_transactions(
@@ -53,7 +56,7 @@ def outlier_transactions(
     by deviation (most negative first) when ``order``; ties are broken on the row
     values so the order is total.
     """
-    out = with_rating(threshold_breaches(clean, thresholds, hot), rating)
+    out = with_rating(threshold_breaches(clean, thresholds, hot), rating, hot)
     return total_order(out, *OUTLIER_ORDER) if order else out
 
 
