@@ -18,3 +18,27 @@ def test_report_writes_every_result(spark):
     direct = sorted((tuple(r) for r in RiskRun(tx).rating.collect()), key=repr)
     assert written == direct
     assert spark.read.parquet(paths["outlier_transactions"]).count() == RiskRun(tx).outliers().count()
+
+
+def test_shared_summaries_equal_the_standalone_checks(spark):
+    from test_random_oracle import random_rows
+
+    from txrisk.operators import explore, quality
+    from txrisk.plans.report import country_checks, country_summary, sign_checks, sign_summary
+    from txrisk.sources.schema import TRANSACTION_SCHEMA
+
+    tx = spark.createDataFrame(random_rows(5), TRANSACTION_SCHEMA)
+    direct = {
+        "import_completeness": quality.import_completeness(tx),
+        "amount_range_by_sign": quality.amount_range_by_sign(tx),
+        "nonpositive_profile": quality.nonpositive_profile(tx),
+        "zero_amounts": quality.zero_amounts(tx),
+        "country_distribution_clean": quality.country_distribution(tx.where("TransactionAmount > 0")),
+        "country_distribution_raw": explore.country_distribution_raw(tx),
+    }
+    shared = {**sign_checks(sign_summary(tx)), **country_checks(country_summary(tx))}
+    for name, want in direct.items():
+        got = shared[name]
+        shape = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
+        assert shape(got) == shape(want), name
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
