@@ -131,9 +131,11 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="Run every check, the risk rating and the rules on a transaction file.")
     ap.add_argument("input", help="';'-delimited transaction file(s), no header")
     ap.add_argument("out", help="output folder (one sub-folder per result)")
-    ap.add_argument("--sep", default=";")
-    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    ap.add_argument("--shuffle-partitions", type=int, default=200)
+    ap.add_argument("--sep", default=";", help="field separator of the input (default ';')")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="format of the results")
+    ap.add_argument(
+        "--shuffle-partitions", type=int, default=200, help="about input bytes / 256 MB; AQE coalesces small ones"
+    )
     args = ap.parse_args(argv)
     spark = build_session(master=None, shuffle_partitions=args.shuffle_partitions)
     ensure_checkpoint_dir(spark)
