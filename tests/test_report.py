@@ -42,3 +42,22 @@ def test_shared_summaries_equal_the_standalone_checks(spark):
         shape = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
         assert shape(got) == shape(want), name
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
+
+
+def test_cli_ingests_once_and_writes_every_result(spark, capsys):
+    from pathlib import Path
+
+    from micro import MICRO_ROWS
+
+    from txrisk.plans.report import main
+
+    d = Path(tempfile.mkdtemp(prefix="txrisk-cli-"))
+    lines = [";".join("" if v is None else str(v) for v in r) for r in MICRO_ROWS] + ["99;Debit;9.5;SE"]
+    (d / "tx.txt").write_text("\n".join(lines) + "\n")
+    main([str(d / "tx.txt"), str(d / "out"), "--shuffle-partitions", "8"])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert {"loaded", "import_completeness", "risk_rating", "romania_rule_hits"} <= set(printed)
+    loaded = spark.read.parquet(printed["loaded"])
+    assert loaded.where("load_status = 'unparsable'").count() == 1
+    assert spark.read.parquet(printed["import_completeness"]).first()["total_records"] == len(MICRO_ROWS)
+    assert spark.read.parquet(printed["risk_rating"]).count() == RiskRun(micro_df(spark)).rating.count()
