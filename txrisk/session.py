@@ -65,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):  # one machine; not local-cluster
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="txrisk-ckpt-"))
     else:
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for reliable checkpoints")
