@@ -1,10 +1,16 @@
 """Queries of this subpackage: name -> (spark, sf_dir) -> DataFrame."""
 
+from txrisk.llm import line_dedup, minhash
 from txrisk.llm.packing import op10_best_fit_packing
 from txrisk.llm.token_files import op8_token_files
 
 QUERIES = {
+    "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
     "op8_token_files": op8_token_files,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_near_dedup": minhash.ORACLE,
+    "op9_line_dedup": line_dedup.ORACLE,
+}
