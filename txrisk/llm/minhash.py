@@ -8,11 +8,14 @@ bin with the sets' Jaccard similarity. ``ROWS`` bins make a band; at similarity
 shares none of the 40 bands with probability 1.3e-7.
 
 Equal sets (128-bit digest) are one class, and only its smallest doc_id goes on. A bucket
-of n classes gives n - 1 edges, to its smallest doc_id. Edges are confirmed on whole texts,
-grouped by the hub (a large hub is split into blocks of ``HUB_BLOCK``). Where a bucket's
-members still lie in different components, its next 1, 2, 4, ... members become hubs for
-the members of other components, until every such pair was tested or joined: no link is
-lost to the star, and no bucket is expanded into all pairs unless nothing in it links.
+of n classes gives n - 1 edges, to its best connected member. Edges are confirmed on whole
+texts, grouped by the hub (a large hub is split into blocks of ``HUB_BLOCK``); the test also
+notes by which hashes the two sets differ. What a star cannot see are links between two of
+a hub's members in different components. With M the hashes a member lacks of the hub's set
+and A those it has besides, two members share |hub| - |M1 or M2| + |A1 and A2| hashes, so
+such pairs are tested exactly on these short lists, in pairs of blocks of ``BLOCK`` members;
+only the links come out, and no text moves again. No candidate of any bucket goes untested
+unless its ends are already joined.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a
 text of fewer than k words has its whole sequence as one shingle; rows that share a doc_id
@@ -27,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm.components import connected_components
@@ -37,6 +40,7 @@ from txrisk.llm.textvec import U, Slice, distinct_by_row, mix, shingles, slices,
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 HUB_BLOCK = 1024
+BLOCK = 512
 EMPTY = U(2**64 - 1)
 
 
@@ -108,39 +112,138 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(sketch, "doc_id long, n long, d1 long, d2 long, keys array<long>")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """The pairs (u, v), v the hub, whose whole texts' sets pass the similarity test.
+TESTS = "u long, v long, linked boolean, n long, hub_n long, lacks array<long>, adds array<long>"
 
-    Each document's text is joined once to its places (as member or hub), then rows meet by
-    (hub, block): a hub's own text comes first and its set is kept while members pass."""
+
+def confirm(pairs: DataFrame, texts: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """Every pair (u, v), v the hub, tested on the full sets of the whole texts.
+
+    Each text is joined once to its places (as member or hub), then rows meet by (hub,
+    block): a hub's own text comes first and its set is kept while its members pass."""
     blocks = pairs.groupBy("v").agg(F.ceil(F.count("*") / HUB_BLOCK).alias("n"))
     members = pairs.join(blocks, "v").select("v", F.pmod(F.xxhash64("u"), F.col("n")).alias("block"), F.col("u").alias("doc_id"), F.lit(1).alias("place"))
     hubs = blocks.select("v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("block"), F.col("v").alias("doc_id"), F.lit(0).alias("place"))
-    rows = docs.join(members.union(hubs), "doc_id").select("v", "block", "place", "doc_id", "text")
+    rows = texts.join(members.union(hubs).hint("merge"), "doc_id").select("v", "block", "place", "doc_id", "text")
     rows = rows.repartition("v", "block").sortWithinPartitions("v", "block", "place")
+    names = [x.split()[0] for x in TESTS.split(", ")]
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, hub = None, np.zeros(0, np.uint64)
         for b in it:
             v, block, place, ids = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            u_out, v_out = [], []
             for s in slices(b.column("text")):
                 _, h, first = sets_of(s, cfg.words)
+                out: list[tuple] = []
                 for i in range(s.rows):
                     at, own = s.lo + i, h[first[i] : first[i + 1]]
                     if place[at] == 0:
                         now, hub = (v[at], block[at]), own
-                        continue
-                    if (v[at], block[at]) != now or min(own.size, hub.size) * 100 < cfg.percent * max(own.size, hub.size):
-                        continue
-                    near = np.searchsorted(hub, own)
-                    both = int((hub[np.minimum(near, hub.size - 1)] == own).sum())
-                    if 100 * both >= cfg.percent * (own.size + hub.size - both):
-                        u_out.append(ids[at])
-                        v_out.append(v[at])
-            yield pa.record_batch([pa.array(u_out, pa.int64()), pa.array(v_out, pa.int64())], names=["u", "v"])
+                    elif (v[at], block[at]) == now and hub.size:
+                        near = np.minimum(np.searchsorted(hub, own), hub.size - 1)
+                        both = hub[near] == own
+                        there = np.zeros(hub.size, bool)
+                        there[near[both]] = True
+                        linked = 100 * int(both.sum()) >= cfg.percent * (own.size + hub.size - int(both.sum()))
+                        out.append((ids[at], v[at], linked, own.size, hub.size, hub[~there].view(np.int64), own[~both].view(np.int64)))
+                cols = list(zip(*out, strict=True)) if out else [()] * len(names)
+                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=names)
+
+    return rows.mapInArrow(check, TESTS)
+
+
+def stars(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, u, size) of the buckets with two members or more, and the star edges (u, v).
 
-    return rows.mapInArrow(check, "u long, v long").distinct()
+    A bucket's hub v is the member that meets most others over all its buckets: in a group
+    of copies that is the text they were made from, to which most of them link."""
+    buckets = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("u"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(buckets.join(shared, "key"), "buckets")
+    degree = members.groupBy("u").agg(F.sum("size").alias("degree"))
+    hubs = members.join(degree, "u").groupBy("key").agg(F.max(F.struct("degree", (-F.col("u")).alias("minus"))).alias("hub"))
+    edges = members.join(hubs, "key").select("u", (-F.col("hub.minus")).alias("v")).where("u <> v")
+    return members, stored(edges.distinct(), "pairs")
+
+
+def _shared(one: np.ndarray, sorted_: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+    """How many of ``one``'s hashes each owner has."""
+    lo, hi = np.searchsorted(sorted_, one, "left"), np.searchsorted(sorted_, one, "right")
+    n = hi - lo
+    at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return np.bincount(owner[at], minlength=rows)
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes ascending, the list each one is from)."""
+    n = np.diff(lists.offsets.to_numpy())
+    h = lists.flatten().to_numpy(zero_copy_only=False)
+    order = np.argsort(h, kind="stable")
+    return h[order], np.repeat(np.arange(n.size), n)[order]
+
+
+def links_across(rows: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between members of one pair of blocks that lie in different components."""
+    second, u, comp, n = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("second", "u", "component", "n"))
+    hub_n = int(rows.column("hub_n")[0].as_py())
+    same = rows.column("a")[0] == rows.column("b")[0]
+    lacks, adds = rows.column("lacks"), rows.column("adds")
+    all_l, own_l = _flat(lacks)
+    all_a, own_a = _flat(adds)
+    n_l = np.diff(lacks.offsets.to_numpy())
+    us, vs = [], []
+    for i in range(u.size) if same else np.flatnonzero(second == 0).tolist():
+        other = (comp != comp[i]) & ((np.arange(u.size) > i) if same else (second == 1))
+        if not other.any():
+            continue
+        l_i = lacks[i].values.to_numpy(zero_copy_only=False)
+        a_i = adds[i].values.to_numpy(zero_copy_only=False)
+        both = hub_n - (n_l[i] + n_l - _shared(l_i, all_l, own_l, u.size)) + _shared(a_i, all_a, own_a, u.size)
+        j = np.flatnonzero(other & (100 * both >= percent * (n[i] + n - both)))
+        us.append(u[j])
+        vs.append(np.full(j.size, u[i]))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *us]), np.concatenate([none, *vs])
+
+
+def unresolved(tests: DataFrame, component: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """Links (u, v) between members of one hub that the stars left in different components.
+
+    A hub's members are cut into blocks of about ``BLOCK`` and worked off by pairs of
+    blocks, so a task holds two blocks however many members there are."""
+    label = component.select(F.col("doc_id").alias("u"), "component")
+    tests = tests.withColumnRenamed("v", "hub")
+    held = tests.select("hub", "u").join(label, "u", "left").select("hub", "u", F.coalesce("component", "u").alias("component"))
+    split = held.groupBy("hub").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    open_ = held.join(split.select("hub", F.ceil(F.col("size") / BLOCK).alias("blocks")), "hub")
+    open_ = open_.withColumn("own", F.pmod(F.xxhash64("u"), F.col("blocks")))
+    rows = tests.join(open_, ["hub", "u"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("hub", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).cast("int").alias("second"), "u", "component", "n", "hub_n", "lacks", "adds")
+    rows = rows.repartition("hub", "a", "b").sortWithinPartitions("hub", "a", "b")
+
+    def pairs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+
+        def done() -> pa.RecordBatch:
+            group = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            u, v = links_across(group, cfg.percent)
+            return pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        for b in it:
+            key = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            cuts = [0, *new.tolist(), b.num_rows]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if y == x:
+                    continue
+                if kept and [kept[0].column(i)[0] for i in range(3)] != [b.column(i)[x] for i in range(3)]:
+                    yield done()
+                    kept = []
+                kept.append(b.slice(x, y - x))
+        if kept:
+            yield done()
+
+    return rows.mapInArrow(pairs, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, cfg: MinHashConfig | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,35 +257,14 @@ def near_duplicates(docs: DataFrame, cfg: MinHashConfig | None = None, id_col: s
     one = sketch.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "keys")).alias("c"))
     classes = stored(one.select("d1", "d2", F.col("c.doc_id").alias("rep"), F.col("c.keys").alias("keys")), "classes")
 
-    buckets = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("u"))
-    heads = buckets.groupBy("key").agg(F.min("u").alias("v"), F.count("*").alias("size")).where("size > 1")
-    members = stored(buckets.join(heads, "key"), "buckets")
-    tested = stored(members.where("u <> v").select("u", "v").distinct(), "pairs")
-    links = stored(confirm(tested, known, cfg), "links")
-    component = connected_components(links)
-
-    hubs = 1  # members of rank below this were hubs
-    ranked = members.where("size > 2")
-    while True:
-        label = component.select(F.col("doc_id").alias("u"), "component")
-        held = ranked.join(label, "u", "left").withColumn("component", F.coalesce("component", "u"))
-        split = held.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-        open_ = held.join(split, "key")
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("u")) - 1
-        ranked = stored(open_.withColumn("rank", rank) if "rank" not in open_.columns else open_, "open").select("key", "u", "size", "rank", "component")
-        if ranked.agg(F.max("size")).first()[0] is None or ranked.agg(F.max("size")).first()[0] <= hubs:
-            break
-        new = ranked.where((F.col("rank") >= hubs) & (F.col("rank") < 2 * hubs)).select("key", F.col("u").alias("v"), F.col("rank").alias("vr"), F.col("component").alias("vc"))
-        pairs = ranked.join(new, "key").where((F.col("component") != F.col("vc")) & (F.col("rank") > F.col("vr"))).select("u", "v").distinct()
-        pairs = stored(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            more = stored(confirm(pairs, known, cfg), "links")
-            tested = tested.union(pairs)
-            if not more.isEmpty():
-                links = links.union(more)
-                component = connected_components(links)
-        hubs *= 2
-        ranked = ranked.where(F.col("size") > hubs).drop("component")
+    members, pairs = stars(classes)
+    # the ids grow with the corpus: a shuffle at any size, and one only of all texts
+    ids = members.select(F.col("u").alias("doc_id")).distinct()
+    texts = stored(known.join(ids.hint("merge"), "doc_id"), "texts")
+    tests = stored(confirm(pairs, texts, cfg), "tests")
+    links = tests.where("linked").select("u", "v")
+    more = unresolved(tests, connected_components(links), cfg)
+    component = connected_components(links.union(more))
 
     named = classes.select("d1", "d2", "rep").join(component.select(F.col("doc_id").alias("rep"), "component"), "rep", "left")
     named = named.select("d1", "d2", F.coalesce("component", "rep").alias("component"))
@@ -200,7 +282,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]]
-      ELSE list_transform(range(1, len(ws)), i -> ws[i] || chr(10) || ws[i + 1]) END) AS g FROM w),
+      ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || chr(10) || ws[i + 1]) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 e AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
