@@ -1,12 +1,15 @@
 """Queries of this subpackage: name -> (spark, sf_dir) -> DataFrame."""
 
-from txrisk.llm import line_dedup, minhash
+from txrisk.llm import language, line_dedup, minhash, quality, toxicity
 from txrisk.llm.packing import op10_best_fit_packing
 from txrisk.llm.token_files import op8_token_files
 
 QUERIES = {
     "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
     "op8_token_files": op8_token_files,
+    "op4_language_id": language.op4_language_id,
+    "op5_quality_rules": quality.op5_quality_rules,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
