@@ -35,9 +35,9 @@ HEADS = (4, 6)
 class FMConfig:
     sample: int = 20_000  # labelled documents fitted on, at most
     terms: int = 1024
-    min_docs: int = 5
+    min_docs: int = 4
     factors: int = 8
-    epochs: int = 12
+    steps: int = 2000
     rate: float = 0.02
     l2: float = 2e-5
     l2_factors: float = 1e-3
@@ -126,7 +126,7 @@ def fit(y: np.ndarray, doc: np.ndarray, h: np.ndarray, cfg: FMConfig) -> FM | No
     theta = [np.array([np.log(y.mean() / (1 - y.mean()))]), np.zeros(d), rng.normal(0, 0.01, (d, k))]
     m1, m2 = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
     step = 0
-    for _ in range(cfg.epochs):
+    while step < cfg.steps:
         order = rng.permutation(y.size)
         for lo in range(0, y.size, 256):
             i = order[lo : lo + 256]
