@@ -1,10 +1,12 @@
 """Queries of this subpackage: name -> (spark, sf_dir) -> DataFrame."""
 
-from txrisk.llm import language, line_dedup, minhash, quality, toxicity
+from txrisk.llm import decontaminate, html_text, language, line_dedup, minhash, quality, toxicity
 from txrisk.llm.packing import op10_best_fit_packing
 from txrisk.llm.token_files import op8_token_files
 
 QUERIES = {
+    "op1_html_extraction": html_text.op1_html_extraction,
+    "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
     "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
     "op8_token_files": op8_token_files,
     "op4_language_id": language.op4_language_id,
