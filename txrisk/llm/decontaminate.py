@@ -2,8 +2,8 @@
 exact weighted-shingle similarity.
 
 An item's fingerprint is the 128-bit SimHash of its 5-word shingles. Documents are read in
-windows of an item's size: with a step g (1, 2, 4 or 8 shingles, four elevenths of the
-item at most) and a width of the item's n shingles rounded up to a multiple of g past n + g - 1, some
+windows of an item's size: with a step g (1, 2, 4 or 8 shingles, a quarter of the item at
+most) and a width of the item's n shingles rounded up to a multiple of g past n + g - 1, some
 window covers any stretch of n shingles. An item occurring with similarity 0.8 then differs
 from that window's fingerprint in a known share of bits; the radius is that plus three
 standard deviations. The 128 bits are cut into eight blocks with error bounds whose sum
@@ -50,7 +50,7 @@ class LeakConfig:
 
 
 def _step(n: int) -> int:
-    return 1 if n < 6 else 2 if n < 11 else 4 if n < 32 else 8
+    return 1 if n < 8 else 2 if n < 16 else 4 if n < 32 else 8
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -124,48 +124,50 @@ class BitSums:
     def __init__(self, h: np.ndarray):
         self.bits, self.done = fingerprint_bits(h), {}
 
-    def ones(self, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
+    def windows(self, step: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, fingerprint halves) of the windows that start at the multiples of ``step``.
+
+        They run over the ends of texts: what a window holds of a neighbour counts as the
+        rest of its own text would, and is left out when its stretches are verified."""
         kind = np.uint8 if width < 256 else np.uint16
         if kind not in self.done:
-            lanes = np.ascontiguousarray(self.bits.astype(kind).view(np.uint64).T)
+            lanes = np.ascontiguousarray(self.bits.astype(kind, copy=False).view(np.uint64).T)
             sums = np.zeros((lanes.shape[0], lanes.shape[1] + 1), np.uint64)
             np.cumsum(lanes, axis=1, out=sums[:, 1:])
             self.done[kind] = np.ascontiguousarray(sums.T)
         sums = self.done[kind]
-        return (sums[end] - sums[begin]).view(kind)
-
-
-def windows(sums: BitSums, first: np.ndarray, step: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, fingerprint) of the windows of every text: from multiples of ``step``, cut off
-    at its end; a text shorter than the width has one window."""
-    n = np.diff(first)
-    count = np.where(n > 0, np.maximum(-(-(n - width) // step), 0) + 1, 0)
-    row = np.repeat(np.arange(n.size), count)
-    begin = (np.arange(row.size) - np.repeat(np.cumsum(count) - count, count)) * step + first[row]
-    end = np.minimum(begin + width, first[row + 1])
-    ones = sums.ones(begin, end, width)
-    return begin, np.packbits(ones > ((end - begin) // 2).astype(ones.dtype)[:, None], axis=1).view(np.uint64)
-
-
-def candidates(sums: BitSums, first: np.ndarray, g: Group) -> Iterator[tuple[int, np.ndarray]]:
+        n = sums.shape[0] - 1
+        start = np.arange(0, n, step)
+        whole = len(range(0, n - width + 1, step))
+        ones = np.empty((start.size, sums.shape[1]), np.uint64)
+        np.subtract(sums[width::step][:whole], sums[::step][:whole], out=ones[:whole])
+        np.subtract(sums[-1], sums[start[whole:]], out=ones[whole:])
+        prints = np.packbits(ones.view(kind) > width // 2, axis=1)
+        for i, a in enumerate(start[whole:].tolist(), whole):  # cut off at the end
+            prints[i] = np.packbits(ones[i].view(kind) > (n - a) // 2)
+        halves = prints.view(np.uint64)
+        return start, np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
+
+
+def candidates(sums: BitSums, g: Group) -> Iterator[tuple[int, np.ndarray]]:
     """(member, starts) of the windows within the radius of each item of the group."""
-    begin, prints = windows(sums, first, g.step, g.width)
-    if not begin.size:
-        return
-    parts = prints.view(np.uint16)
-    mask = g.tables[0][parts[:, 0]]
+    start, one, two = sums.windows(g.step, g.width)
+    parts = [*one.view(np.uint16).reshape(-1, 4).T, *two.view(np.uint16).reshape(-1, 4).T]
+    mask = g.tables[0][parts[0]]
     for b in range(1, BLOCKS):
-        mask |= g.tables[b][parts[:, b]]
+        mask |= g.tables[b][parts[b]]
     for m in range(len(g.item)):
         at = np.flatnonzero(mask & (U(1) << U(m)))
-        near = np.bitwise_count(prints[at] ^ g.prints[m]).sum(axis=1, dtype=np.int64) <= g.radius[m]
+        apart = np.bitwise_count(one[at] ^ g.prints[m, 0])
+        apart += np.bitwise_count(two[at] ^ g.prints[m, 1])
+        near = apart <= g.radius[m]
         if near.any():
-            yield m, begin[at[near]]
+            yield m, start[at[near]]
 
 
 def best_match(doc: np.ndarray, item: Counter, size: int, total: float, weight: dict[int, float], rare: float, starts: np.ndarray, width: int, least: float) -> tuple[float, int] | None:
     """The best stretch of ``size`` shingles that lies in one of the windows."""
-    at = np.unique(np.concatenate([np.arange(max(0, s - width), max(0, min(s + width, doc.size - size)) + 1) for s in starts.tolist()]))
+    at = np.unique(np.concatenate([np.arange(max(0, min(s, doc.size - size)), max(0, min(s + width - 1, doc.size - size)) + 1) for s in starts.tolist()]))
     lo, hi = int(at[0]), int(min(at[-1] + size, doc.size))
     part = doc[lo:hi]
     keys = np.array(sorted(item), np.uint64)
@@ -233,13 +235,15 @@ def _match(docs: DataFrame, own: pa.Table, n_items: int, cfg: LeakConfig) -> Dat
                     continue
                 sums, out = BitSums(h), []
                 for g in groups:
-                    for m, starts in candidates(sums, first, g):
+                    for m, starts in candidates(sums, g):
                         k = g.item[m]
                         size = sum(sets[k].values())
-                        row = np.searchsorted(first, starts, "right") - 1
-                        for r in np.unique(row).tolist():
+                        head = np.searchsorted(first, starts, "right") - 1
+                        last = np.searchsorted(first, np.minimum(starts + g.width, h.size) - 1, "right") - 1
+                        for r in sorted({x for a, z in zip(head.tolist(), last.tolist(), strict=True) for x in range(a, z + 1)}):
                             doc = h[first[r] : first[r + 1]]
-                            got = best_match(doc, sets[k], size, totals[k], weight, rare, starts[row == r] - first[r], g.width, cfg.similarity)
+                            own = starts[(head <= r) & (last >= r)] - first[r]
+                            got = best_match(doc, sets[k], size, totals[k], weight, rare, own, g.width, cfg.similarity) if doc.size else None
                             if got:
                                 out.append((ids[s.lo + r].as_py(), names[k], got[1], min(size, doc.size) + cfg.words - 1, got[0]))
                 if out:

@@ -1,6 +1,6 @@
 """Queries of this subpackage: name -> (spark, sf_dir) -> DataFrame."""
 
-from txrisk.llm import decontaminate, html_text, language, line_dedup, minhash, quality, toxicity
+from txrisk.llm import decontaminate, html_text, language, line_dedup, minhash, passages, quality, toxicity
 from txrisk.llm.packing import op10_best_fit_packing
 from txrisk.llm.token_files import op8_token_files
 
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_language_id": language.op4_language_id,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_repeated_passages": passages.op7_repeated_passages,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
