@@ -40,7 +40,7 @@ from txrisk.llm.textvec import U, mix, shingles, slices, words
 
 BITS, BLOCKS = 128, 8
 BLOCK_CHARS = 8_000_000
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ class Group:
     item: list[int]
     prints: np.ndarray  # (items, 2)
     radius: np.ndarray
-    tables: np.ndarray  # (BLOCKS, 65536) masks of items
+    tables: np.ndarray  # (BLOCKS, 65536) masks of items, as narrow as their number allows
 
 
 _ERRORS = np.bitwise_count(np.arange(1 << 16, dtype=np.uint16))
@@ -104,7 +104,8 @@ def index(items: list[tuple[int, np.ndarray]], cfg: LeakConfig) -> list[Group]:
             part = members[lo : lo + 64]
             prints = np.stack([simhash(items[k][1]) for k in part])
             r = np.array([radius(items[k][1].size, width, cfg.similarity) for k in part])
-            tables = np.zeros((BLOCKS, 1 << 16), np.uint64)
+            kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= len(part))
+            tables = np.zeros((BLOCKS, 1 << 16), kind)
             value = np.arange(1 << 16, dtype=np.uint16)
             for m in range(len(part)):
                 # bounds t_b with sum(t_b + 1) = r + 1: not all blocks can be over theirs
@@ -112,7 +113,7 @@ def index(items: list[tuple[int, np.ndarray]], cfg: LeakConfig) -> list[Group]:
                 for b, own in enumerate(prints[m].view(np.uint16)):
                     bound = base - 1 + (b < extra)
                     near = _ERRORS[value ^ own] <= bound if bound >= 0 else np.zeros(1 << 16, bool)
-                    tables[b][near] |= U(1) << U(m)
+                    tables[b][near] |= kind(1 << m)
             out.append(Group(g, width, part, prints, r, tables))
     return out
 
@@ -157,7 +158,7 @@ def candidates(sums: BitSums, g: Group) -> Iterator[tuple[int, np.ndarray]]:
     for b in range(1, BLOCKS):
         mask |= g.tables[b][parts[b]]
     for m in range(len(g.item)):
-        at = np.flatnonzero(mask & (U(1) << U(m)))
+        at = np.flatnonzero(mask & mask.dtype.type(1 << m))
         apart = np.bitwise_count(one[at] ^ g.prints[m, 0])
         apart += np.bitwise_count(two[at] ^ g.prints[m, 1])
         near = apart <= g.radius[m]
