@@ -15,7 +15,7 @@ import numpy as np
 from txrisk.llm.textvec import Slice, hash_spans
 
 #: A worker keeps at most this many chunks; more are encoded again when they come up.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 400_000
 GROUP = 200
 
 _WS_BYTE = np.zeros(256, bool)
