@@ -25,10 +25,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out repeated lines; ``n_chars`` follows the text. A document stays even if no line is left."""
-    out = line_dedup.line_dedup(docs)
-    kept = out.drop("n_lines", "n_dropped")
-    n = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumn("n_chars", n).select(kept.columns) if "n_chars" in docs.columns else kept
+    names = docs.columns  # set aside, as an input column may be called n_lines too
+    out = line_dedup.line_dedup(docs.toDF(*(f"__{c}" for c in names)), id_col="__doc_id", text_col="__text")
+    cols = [F.col(f"__{c}").alias(c) for c in names]
+    if "n_chars" in names:
+        n = F.when(F.col("n_dropped") > 0, F.length("__text")).otherwise(F.col("__n_chars"))
+        cols[names.index("n_chars")] = n.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*cols)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
