@@ -3,6 +3,7 @@
 import tempfile
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from txrisk.sources.ingest import clean, ingest_transactions, read_ingested, read_transactions
@@ -87,3 +88,24 @@ def test_streaming_completeness_log(spark):
     totals = log.agg(F.sum("total_records"), F.sum("quarantined_records"), F.sum("total_abs_amount")).first()
     assert tuple(totals) == (len(LINES) + 1, 4, 100 + 3 + 20)
     assert log.select("batch_id").distinct().count() == 2
+
+
+def test_good_rows_do_not_depend_on_the_columns_read(spark, tmp_path):
+    (tmp_path / "tx.txt").write_text("1;Credit;10;FI\n2;Debit;x;SE\n3;Debit\n5;Credit;9.5;DK\n7;Debit;4;FIN\n")
+    good, bad = read_transactions(spark, str(tmp_path / "tx.txt"))
+    assert [r.CustomerID for r in good.collect()] == [r.CustomerID for r in good.select("CustomerID").collect()] == [1]
+    assert good.count() == 1 and bad.count() == 4
+
+
+def test_two_drops_of_files_are_both_kept(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for n, text in enumerate(("1;Credit;10;FI\n2;Debit;5;SE\n", "3;Debit;7;DK\n")):
+        (src / f"{n}.txt").write_text(text)
+        start_ingest(spark, str(src), out).awaitTermination()
+    assert sorted(r.CustomerID for r in read_ingested(spark, out).collect()) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        ingest_transactions(spark, str(src), out)
+    ingest_transactions(spark, str(src), out + "2")
+    with pytest.raises(ValueError):
+        start_ingest(spark, str(src), out + "2")

@@ -103,12 +103,6 @@ class RiskConfig:
     max_country_length: int = 2
     # Percentiles reported per segment by the threshold recommendation.
     segment_percentiles: tuple[float, ...] = (0.5, 0.9, 0.95)
-    # Sketch size of the per-segment percentiles: exact while a segment has fewer than
-    # accuracy/2 customers, rank error at most n/accuracy beyond; memory stays bounded.
-    percentile_accuracy: int = 100_000
-    # Broadcast the per-(customer, sign) thresholds only when the materialised profile has
-    # at most this many rows (about 60 bytes each once hashed); above it, shuffle join.
-    threshold_broadcast_rows: int = 100_000
     # Explicit hot-key salting of the threshold joins: None = only when the session has
     # AQE skew-join handling off. A (customer, sign) group above the cut is spread over
     # ceil(rows / cut) salts; the cut is raised so that at most max_hot_keys groups pass.

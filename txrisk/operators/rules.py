@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
 from txrisk.functions.skew import hot_customer_keys, salted_join
-from txrisk.functions.stats import percentile_name
+from txrisk.functions.stats import nearest_rank_percentiles, percentile_name
 from txrisk.operators.features import alert_flag
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 
@@ -84,25 +84,19 @@ def segment_thresholds(incoming: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFr
     """Per segment: customers, mean, population stdev and percentiles of the monthly
     incoming amount, as inputs for choosing a rule threshold per segment.
 
-    Percentiles come from Spark's mergeable quantile sketch, so a segment holding most
-    customers is summarised in bounded memory with map-side partial aggregation. They
-    equal the nearest-rank percentile while a segment has fewer than
-    ``cfg.percentile_accuracy / 2`` customers, and are within ``n / accuracy`` ranks beyond.
+    Percentiles are exact nearest-rank values at any size: value histograms by digits of
+    the amount, aggregated map-side, so no segment is gathered or sorted in one task.
     """
     probs = list(cfg.segment_percentiles)
-    pct = F.percentile_approx("TransactionAmount", probs, cfg.percentile_accuracy)
-    out = incoming.groupBy("Risk_Segment").agg(
+    moments = incoming.groupBy("Risk_Segment").agg(
         F.count(F.lit(1)).alias("num_customers"),
         F.avg("TransactionAmount").alias("mean_amount"),
         F.stddev_pop("TransactionAmount").alias("stddev_amount"),
-        pct.alias("_pct"),
     )
+    pct = nearest_rank_percentiles(incoming, ["Risk_Segment"], "TransactionAmount", probs).withColumnRenamed("Risk_Segment", "_seg")
+    out = moments.join(pct, F.col("Risk_Segment").eqNullSafe(F.col("_seg")), "left")
     return out.select(
-        "Risk_Segment",
-        "num_customers",
-        "mean_amount",
-        "stddev_amount",
-        *[F.col("_pct")[i].alias(percentile_name(p)) for i, p in enumerate(probs)],
+        "Risk_Segment", "num_customers", "mean_amount", "stddev_amount", *[F.col(percentile_name(p)) for p in probs]
     )
 
 

@@ -69,26 +69,18 @@ class RiskRun:
     def _conf(self, key: str, default: str) -> str:
         return str(self.raw.sparkSession.conf.get(key, default)).strip().lower()
 
-    @cached_property
-    def _broadcast_thresholds(self) -> bool:
-        # a session that turns broadcast joins off (threshold -1) is obeyed
-        enabled = not self._conf("spark.sql.autoBroadcastJoinThreshold", "1").startswith("-")
-        small = self.profile_rows is not None and self.profile_rows <= self.cfg.threshold_broadcast_rows
-        return enabled and small
-
     @cached_property
     def thresholds(self) -> DataFrame:
-        thr = feat.sign_thresholds(self.profile, self.cfg)
-        return F.broadcast(thr) if self._broadcast_thresholds else thr
+        """Never hinted: AQE broadcasts it where its measured size allows, else it shuffles."""
+        return feat.sign_thresholds(self.profile, self.cfg)
 
     @cached_property
     def hot(self) -> DataFrame | None:
         """Hot (customer, sign) keys to salt in the threshold joins, or None.
 
-        Not needed when the thresholds are broadcast (fact rows are not shuffled) or when
-        AQE splits skewed partitions itself; ``cfg.salt_hot_keys`` overrides the choice.
+        Not needed when AQE splits skewed partitions itself; ``cfg.salt_hot_keys`` overrides the choice.
         """
-        if self.clean_rows is None or self._broadcast_thresholds:
+        if self.clean_rows is None:
             return None
         wanted = self.cfg.salt_hot_keys
         if wanted is None:

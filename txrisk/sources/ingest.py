@@ -16,14 +16,23 @@ from txrisk.sources.schema import AMT, COLUMNS, CORRUPT, CTRY, READ_SCHEMA, SIGN
 STATUS = "load_status"
 
 
-def _reader(spark: SparkSession, sep: str):
-    return (
-        spark.read.schema(READ_SCHEMA)
-        .option("sep", sep)
-        .option("header", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
+#: A folder that a streaming query writes has this log, and readers follow it alone.
+STREAM_LOG = "_spark_metadata"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def parse_lines(lines: DataFrame, sep: str) -> DataFrame:
+    """Columns of the read schema from text lines (column ``value``). Every line is parsed
+    in full, so whether it is bad never depends on the columns that a query reads."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in READ_SCHEMA.fields)
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    full = lines.where(F.trim("value") != "")  # a file's blank lines are no records
+    return full.select(F.from_csv("value", schema, options).alias("r")).select("r.*")
 
 
 def quarantine_reason(cfg: RiskConfig = DEFAULT) -> Column:
@@ -42,7 +51,7 @@ def normalize(df: DataFrame) -> DataFrame:
 
 def load_with_status(spark: SparkSession, path: str, sep: str = ";", cfg: RiskConfig = DEFAULT) -> DataFrame:
     """All lines with a ``load_status`` column (NULL = good). One scan serves both outputs."""
-    df = _reader(spark, sep).csv(path)
+    df = parse_lines(spark.read.text(path), sep)
     if cfg.normalize_strings:
         df = normalize(df)
     return df.withColumn(STATUS, quarantine_reason(cfg))
@@ -65,6 +74,8 @@ def ingest_transactions(spark: SparkSession, path: str, out: str, sep: str = ";"
     rows land under ``load_status=good`` and bad ones under their reason.
     """
     df = load_with_status(spark, path, sep, cfg).withColumn(STATUS, F.coalesce(F.col(STATUS), F.lit("good")))
+    if path_exists(spark, f"{out}/{STREAM_LOG}"):
+        raise ValueError(f"{out} belongs to a streaming ingest; a batch written there would not be read back")
     df.write.mode("overwrite").partitionBy(STATUS).parquet(out)
 
 

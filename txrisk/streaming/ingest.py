@@ -8,31 +8,21 @@ the backlog in bounded micro-batches and stops, which suits a monthly drop of fi
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.session import ensure_checkpoint_dir
-from txrisk.sources.ingest import STATUS, normalize, quarantine_reason
-from txrisk.sources.schema import AMT, CORRUPT, READ_SCHEMA
+from txrisk.sources.ingest import STATUS, STREAM_LOG, normalize, parse_lines, path_exists, quarantine_reason
+from txrisk.sources.schema import AMT
 
 
 def stream_transactions(
     spark: SparkSession, src_dir: str, sep: str = ";", cfg: RiskConfig = DEFAULT, max_files_per_trigger: int = 1000
 ) -> DataFrame:
     """Streaming DataFrame over the files of ``src_dir`` with a ``load_status`` column."""
-    df = (
-        spark.readStream.schema(READ_SCHEMA)
-        .option("sep", sep)
-        .option("header", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(src_dir)
-    )
+    df = parse_lines(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(src_dir), sep)
     if cfg.normalize_strings:
         df = normalize(df)
     return df.withColumn(STATUS, F.coalesce(quarantine_reason(cfg), F.lit("good")))
@@ -50,8 +40,11 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append parsed lines to ``out_dir/load_status=<good|reason>`` (read back with
     :func:`txrisk.sources.ingest.read_ingested`). The query's checkpoint defaults to a
-    fresh folder under the session's reliable checkpoint directory."""
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    folder inside ``out_dir``, so a later call goes on where the last one ended. A folder
+    with files that no stream wrote is refused."""
+    location = checkpoint_location or f"{out_dir.rstrip('/')}/_checkpoint"
+    if path_exists(spark, out_dir) and not path_exists(spark, f"{out_dir}/{STREAM_LOG}") and not path_exists(spark, location):
+        raise ValueError(f"{out_dir} holds other files; a stream written there would hide them")
     writer = (
         stream_transactions(spark, src_dir, sep, cfg)
         .writeStream.format("parquet")
@@ -81,7 +74,7 @@ def start_completeness_log(
     writes ``out_dir/batch_id=<n>`` in overwrite mode, so a batch replayed after a
     failure replaces its own record instead of adding a second one.
     """
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark)}/completeness-{uuid.uuid4().hex}"
+    location = checkpoint_location or f"{out_dir.rstrip('/')}/_checkpoint"
     good = F.col(STATUS) == "good"
 
     def record(batch: DataFrame, batch_id: int) -> None:
