@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from txrisk.operators import explore as ex
 from txrisk.operators import features as feat
 from txrisk.operators import quality as q
-from txrisk.plans.riskrun import RiskRun
+from txrisk.plans.riskrun import RiskRun, country_rule_run
 
 
 def _plan(df) -> str:
@@ -41,17 +41,37 @@ def test_in_subquery_is_a_semi_join(tx_parquet):
     assert "LeftSemi" in _plan(ex.customers_with_country(tx_parquet, ["RO"]))
 
 
-def test_outlier_threshold_join_is_inner(tx_parquet):
+def _reads_facts(df, tx) -> bool:
+    return bool(set(df.inputFiles()) & set(tx.inputFiles()))
+
+
+def test_alert_rows_join_the_facts_once_and_inner(tx_parquet):
     run = RiskRun(tx_parquet)
-    plan = _plan(run.outliers(order=False))
-    assert "Inner" in plan
+    alerts = feat.alert_rows(tx_parquet, feat.sign_bounds(run.profile))
+    plan = _plan(alerts)
+    assert "Inner" in plan and "LeftOuter" not in plan
+    assert _reads_facts(alerts, tx_parquet) and plan.count("FileScan parquet") == 2  # facts and profile
+
+
+def test_rating_outliers_and_top_list_read_kept_tables_only(tx_parquet):
+    run = RiskRun(tx_parquet)
+    for df in (run.rating, run.outliers(order=False), run.top_outliers(), run.alerts):
+        plan = _plan(df)
+        assert not _reads_facts(df, tx_parquet) and "FileScan parquet" in plan
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_kept_profile_is_pruned(tx_parquet):
+    plan = _plan(RiskRun(tx_parquet).thresholds)
+    assert "ReadSchema: struct<CustomerID:int,TransactionSign:string,n_rows:bigint,s_amt:bigint,q_amt:decimal(30,0)>" in plan
 
 
-def test_rating_scans_the_fact_table_once_after_the_profile(tx_parquet):
-    run = RiskRun(tx_parquet)  # the profile is written to the checkpoint folder here
-    plan = _plan(run.rating)
-    assert plan.count("FileScan parquet") == 1  # the raw pass of the alert test
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+def test_country_rule_profiles_only_the_customers_concerned(tx_parquet):
+    run = country_rule_run(tx_parquet)
+    plan = _plan(feat.customer_profile(run.raw))
+    assert "LeftSemi" in plan and plan.index("HashAggregate") < plan.index("LeftSemi")  # below the aggregate
+    concerned = {r[0] for r in run.incoming.select("CustomerID").collect()}
+    assert {r[0] for r in run.profile.select("CustomerID").collect()} == concerned == {9, 10}
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

@@ -1,134 +1,109 @@
-"""A customer holding a third of all rows (half of them exact copies).
-
-With AQE's skew thresholds lowered to this data size, the alert join's hot
-(customer, sign) partition must be split across tasks, and every result must equal
-the plain plan's.
-"""
+"""A customer holding a third of all rows (half of them exact copies), and hot keys that can
+never alert: no task may meet a third of the rows, whatever AQE does."""
 
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from txrisk.operators import features as feat
 from txrisk.plans.riskrun import RiskRun
 from txrisk.sources.schema import TRANSACTION_SCHEMA
 
-SKEW_CONF = {
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+#: Neither AQE's skew handling nor a broadcast may help.
+PLAIN_CONF = {
+    "spark.sql.adaptive.enabled": "false",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.shuffle.partitions": "16",
 }
 
 
-def _skewed_rows(n=30000, seed=3):
+def _rows(hot, n=30000, seed=3):
+    """A third of the rows from ``hot(i, rng)``, the others of about 2000 customers."""
     rng = random.Random(seed)
     rows = []
     for i in range(n):
-        if i % 3 == 0:  # the hot customer: a third of all rows
-            amt = 500 if i % 2 else rng.randint(1, 100000)  # half of them exact copies
-            rows.append((1, "Credit", amt, "FI"))
+        if i % 3 == 0:
+            rows.append(hot(i, rng))
         else:
             rows.append((rng.randint(2, 2000), rng.choice(["Credit", "Debit"]), rng.randint(-5, 20000),
                          rng.choice(["FI", "DK", "SE", "RO", None])))
     return rows
 
 
-@pytest.fixture(scope="module")
-def skewed(spark):
-    df = spark.createDataFrame(_skewed_rows(), TRANSACTION_SCHEMA)
-    path = __import__("tempfile").mkdtemp(prefix="txrisk-skew-") + "/tx"
-    df.repartition(8).write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _with_conf(spark, conf, fn):
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        return fn()
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def test_hot_customer_is_split_and_results_hold(spark, skewed):
-    plain = sorted(tuple(r) for r in RiskRun(skewed).alerts.collect())
-
-    def skew_run():
-        alerts = RiskRun(skewed).alerts
-        rows = sorted(tuple(r) for r in alerts.collect())
-        return rows, alerts._jdf.queryExecution().executedPlan().toString()
-
-    rows, plan = _with_conf(spark, SKEW_CONF, skew_run)
-    assert "isFinalPlan=true" in plan
-    assert "skew=true" in plan  # the hot partition of the probe side was split
-    assert rows == plain
-    hot = [r for r in rows if r[0] == 1][0]
-    assert hot[1] == 10000
-
-
-def test_small_threshold_table_is_broadcast(spark, skewed):
-    # the measured profile is small: the alert test reads raw rows where they are, so a
-    # hot customer never meets one reducer
-    alerts = RiskRun(skewed).alerts
-    alerts.collect()
-    plan = alerts._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
-SALT_CONF = {
-    "spark.sql.adaptive.skewJoin.enabled": "false",
-    "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.shuffle.partitions": "16",
+HOT = {
+    "half copies": lambda i, rng: (1, "Credit", 500 if i % 2 else rng.randint(1, 100000), "FI"),
+    "all copies": lambda i, rng: (1, "Credit", 500, "FI"),
+    "null customer": lambda i, rng: (None, "Credit", rng.randint(1, 100000), "FI"),
+    "null sign": lambda i, rng: (1, None, rng.randint(1, 100000), "FI"),
+    "never positive": lambda i, rng: (1, "Credit", -rng.randint(0, 100000), "FI"),
 }
 
 
-def test_explicit_salting_when_aqe_skew_handling_is_off(spark, skewed):
-    from pyspark.sql import functions as F
-
-    from txrisk.config import RiskConfig
-    from txrisk.functions.skew import salted_join
-
-    plain = RiskRun(skewed)
-    want_alerts = sorted(tuple(r) for r in plain.alerts.collect())
-    want_outliers = sorted((tuple(r) for r in plain.outliers(order=False).collect()), key=repr)
-
-    def salted_run():
-        run = RiskRun(skewed, RiskConfig(hot_key_rows=1000))
-        hot = {(r[0], r[1]): r[2] for r in run.hot.collect()}
-        alerts = sorted(tuple(r) for r in run.alerts.collect())
-        outliers = sorted((tuple(r) for r in run.outliers(order=False).collect()), key=repr)
-        facts = skewed.select("CustomerID", "TransactionSign", "TransactionAmount")
-        dims = run.thresholds.select("CustomerID", "TransactionSign", "threshold_single_transaction")
-        per_task = salted_join(facts, dims, run.hot, "left").groupBy(F.spark_partition_id()).count().collect()
-        return hot, alerts, outliers, max(r[1] for r in per_task)
-
-    hot, alerts, outliers, biggest_task = _with_conf(spark, SALT_CONF, salted_run)
-    assert hot == {(1, "Credit"): 10}  # 10 000 rows over a cut of 1 000
-    assert alerts == want_alerts
-    assert outliers == want_outliers
-    assert biggest_task < 5000  # unsalted, one task would hold the hot key's 10 000 rows
-
-
-def test_semi_join_salting_when_aqe_skew_handling_is_off(spark, skewed):
-    from txrisk.config import RiskConfig
-    from txrisk.operators.explore import customers_with_country
-
-    want = sorted((tuple(r) for r in customers_with_country(skewed, ["RO"], order=False).collect()), key=repr)
-
-    def salted():
-        df = customers_with_country(skewed, ["RO"], order=False, cfg=RiskConfig(hot_key_rows=1000))
-        rows = sorted((tuple(r) for r in df.collect()), key=repr)
-        return rows, df._jdf.queryExecution().executedPlan().toString()
-
-    rows, plan = _with_conf(spark, SALT_CONF, salted)
-    assert rows == want
-    assert "_salt" in plan and "LeftSemi" in plan
+@pytest.fixture
+def plain_joins(spark):
+    old = {k: spark.conf.get(k) for k in PLAIN_CONF}
+    for k, v in PLAIN_CONF.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _expected_alerts(rows):
+    """Brute force of the alert counts, in whole numbers."""
+    groups = {}
+    for cid, sign, amt, _ in rows:
+        if cid is not None and sign is not None and amt > 0:
+            groups.setdefault((cid, sign), []).append(amt)
+    out = {}
+    for cid, *_ in rows:
+        seen, hits = out.get(cid, (0, 0))
+        out[cid] = (seen + (cid is not None), hits)
+    for (cid, _), xs in groups.items():
+        n, s, q = len(xs), sum(xs), sum(x * x for x in xs)
+        hits = sum(n * x >= s and (n * x - s) ** 2 >= 4 * (n * q - s * s) for x in xs)
+        out[cid] = (out[cid][0], out[cid][1] + hits)
+    return out
+
+
+@pytest.mark.parametrize("kind", HOT)
+def test_hot_keys_give_right_alerts_and_even_tasks(spark, plain_joins, kind, tmp_path):
+    rows = _rows(HOT[kind])
+    spark.createDataFrame(rows, TRANSACTION_SCHEMA).repartition(8).write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.parquet(str(tmp_path / "tx"))
+    run = RiskRun(tx)
+    assert {r[0]: (r[1], r[2]) for r in run.alerts.collect()} == _expected_alerts(rows)
+    # every fact row that could alert, as the join meets it: before the bound is applied
+    everything = feat.sign_bounds(run.profile).withColumn("alert_from", F.lit(0).cast("long"))
+    sizes = feat.alert_rows(tx, everything).groupBy(F.spark_partition_id()).count().collect()
+    hot_distinct = len({r for r in rows if r[0] == 1 and r[1] and r[2] > 0})
+    assert max(r[1] for r in sizes) < 2200 + hot_distinct  # 20000 other rows over 16 tasks
+    if kind != "half copies":
+        assert hot_distinct <= 1
+
+
+def test_one_exchange_of_facts_on_customer_and_sign(spark, plain_joins, tmp_path):
+    spark.createDataFrame(_rows(HOT["half copies"], 3000), TRANSACTION_SCHEMA).write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.parquet(str(tmp_path / "tx"))
+    profile = RiskRun(tx).profile
+    plan = feat.alert_rows(tx, feat.sign_bounds(profile))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    facts = [line for line in scans if "GreaterThan(TransactionAmount,0)" in line]
+    assert len(scans) == 2 and len(facts) == 1  # the facts and the kept profile
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 3  # facts by transaction (pre-counted), facts and bounds by key
+
+
+def test_outliers_write_every_copy(spark, monkeypatch):
+    from txrisk.operators import rules
+
+    monkeypatch.setattr(rules, "COPY_BLOCK", 3)
+    rows = [(1, "Credit", 1, "FI")] * 100 + [(1, "Credit", 90, "FI")] * 4
+    out = RiskRun(spark.createDataFrame(rows, TRANSACTION_SCHEMA)).outliers().collect()
+    assert [r["TransactionAmount"] for r in out] == [90] * 4
+
+
+def test_top_outliers_of_none(spark):
+    rows = [(1, "Credit", 1, "FI")] * 100 + [(1, "Credit", 90, "FI")]
+    assert RiskRun(spark.createDataFrame(rows, TRANSACTION_SCHEMA)).top_outliers(0).count() == 0

@@ -68,20 +68,57 @@ def segment(total: Column, cfg: RiskConfig) -> Column:
     return band(total, cfg.segment_bands)
 
 
-def threshold_columns(n: Column, s: Column, q: Column, cfg: RiskConfig) -> dict[str, Column]:
-    """Mean, population stdev and mean + k*sigma of a group from exact integer sums.
+def centred(n: Column, s: Column, q: Column) -> dict[str, Column]:
+    """Exact moments of a group around the whole part of its mean.
 
-    ``n`` rows, ``s`` = sum(x), ``q`` = sum(x*x) as decimal. ``n*q - s*s`` is an exact
-    integer, so the result does not depend on how the sums were split over tasks.
-    The threshold is (s + k*sqrt(D)) / n: one rounding, so a tie such as 10,10,10,10,60
-    (mean 20, sigma 20) lands exactly on 60.
+    With ``n`` rows, ``s`` = sum(x) and ``q`` = sum(x*x): ``_a`` = floor(s / n), ``_r`` =
+    sum(x - a), which lies in [0, n), and ``_v`` = sum((x - a)^2). All are integers, so they
+    do not depend on how the rows were split over tasks, and nothing cancels later.
     """
-    dec = "decimal(38,0)"
-    d = n.cast(dec) * q.cast(dec) - s.cast(dec) * s.cast(dec)
-    root = F.sqrt(d.cast("double"))
+    n = F.nullif(n, F.lit(0).cast("long"))
+    r = F.pmod(s, n)
+    a = F.call_function("div", s - r, n)
+    da, ds, dn = a.cast("decimal(11,0)"), s.cast("decimal(20,0)"), n.cast("decimal(20,0)")
+    return {"_a": a, "_r": r, "_v": (q.cast("decimal(38,0)") - da * ds * 2 + da * da * dn).cast("decimal(38,0)")}
+
+
+def threshold_columns(n: Column, cfg: RiskConfig) -> dict[str, Column]:
+    """Mean, population stdev and mean + k*sigma from the columns of :func:`centred`.
+
+    A constant group has ``_r`` = ``_v`` = 0, so all three are exact at any size; a tie such
+    as 10,10,10,10,60 (mean 20, sigma 20) lands exactly on 60.
+    """
+    rest = F.col("_r").cast("double") / n.cast("double")
+    sigma = F.sqrt(F.greatest(F.col("_v").cast("double") / n.cast("double") - rest * rest, F.lit(0.0)))
+    mean = F.col("_a").cast("double") + rest
+    return {
+        "avg_amount_transaction": mean,
+        "standard_dev": sigma,
+        "threshold_single_transaction": mean + F.lit(float(cfg.sigma_multiplier)) * sigma,
+    }
+
+
+def alert_bounds(n: Column, threshold: Column, cfg: RiskConfig) -> dict[str, Column]:
+    """Smallest whole amounts that reach (``alert_from``) and pass (``outlier_from``) mean + k*sigma.
+
+    With y = x - a the test (n*x - s)^2 >= k^2 * (n*q - s^2) is, divided by n,
+    n*y^2 - 2*y*r - k^2*v >= -(1 + k^2) * r^2 / n: integers on the left, a quotient whose
+    floor (ceiling for the strict test) decides on the right. No product exceeds 38 digits
+    below 10^18 rows. The double ``threshold`` is off by far less than a half, so its
+    nearest integer or the next one is the bound, and the exact test picks.
+    """
+    k2 = cfg.sigma_multiplier**2
+    x = F.round(threshold).cast("long")
+    y = (x - F.col("_a")).cast("decimal(12,0)")
+    r = F.col("_r").cast("decimal(19,0)")
+    dn = n.cast("decimal(19,0)")
+    left = (dn * y * y).cast("decimal(38,0)") - (y * r * 2).cast("decimal(38,0)") - (F.col("_v") * k2).cast("decimal(38,0)")
+    spread = (r * r * (1 + k2)).cast("decimal(38,0)")
+    over = F.pmod(spread, dn).cast("decimal(38,0)")
+    floor = F.call_function("div", spread - over, dn)
+    ceil = floor + F.when(over > 0, F.lit(1)).otherwise(F.lit(0))
+    at_least_mean = dn * y >= r
     return {
-        "avg_amount_transaction": s.cast("double") / n.cast("double"),
-        "standard_dev": root / n.cast("double"),
-        "threshold_single_transaction": (s.cast("double") + F.lit(float(cfg.sigma_multiplier)) * root)
-        / n.cast("double"),
+        "alert_from": F.when(at_least_mean & (left >= -floor), x).otherwise(x + 1),
+        "outlier_from": F.when(at_least_mean & (left > -ceil), x).otherwise(x + 1),
     }

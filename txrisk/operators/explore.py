@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
 from txrisk.functions.scoring import band
-from txrisk.functions.skew import aqe_splits_skew, hot_customers, salted_semi_join
 from txrisk.operators.quality import country_distribution
 from txrisk.sources.schema import AMT, COLUMNS, CTRY, ID, SIGN
 
@@ -34,23 +33,17 @@ def country_rows(tx: DataFrame, countries: Sequence[str]) -> DataFrame:
     return tx.where(F.col(CTRY).isin(list(countries))).select(*COLUMNS)
 
 
-def customers_with_country(
-    tx: DataFrame, countries: Sequence[str], order: bool = True, cfg: RiskConfig = DEFAULT
-) -> DataFrame:
+def customers_with_country(tx: DataFrame, countries: Sequence[str], order: bool = True) -> DataFrame:
     """Every row of the customers with at least one row in ``countries`` (E5, E6).
 
     ``IN (sub-query)`` as a left semi join: the probe side is never duplicated. The
     customer list is deduplicated first (partial aggregation, so a hot customer's rows
     collapse map-side), and AQE broadcasts it only when its measured size is small.
-    If the session has AQE skew handling off, hot customers are salted explicitly.
+    AQE splits a hot customer's partition of the probe side.
     """
     seen = tx.where(F.col(CTRY).isin(list(countries))).select(ID).distinct()
     facts = tx.select(*COLUMNS)
-    salt = cfg.salt_hot_keys if cfg.salt_hot_keys is not None else not aqe_splits_skew(tx)
-    if salt:
-        out = salted_semi_join(facts, seen, hot_customers(facts, cfg.hot_key_rows, cfg.max_hot_keys))
-    else:
-        out = facts.join(seen, ID, "left_semi")
+    out = facts.join(seen, ID, "left_semi")
     return total_order(out, ID) if order else out
 
 
@@ -101,8 +94,8 @@ def explore_all(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> dict[str, DataFrame
         "country_distribution_raw": country_distribution_raw(tx),
         "outlier_country_transactions": country_rows(tx, cfg.outlier_countries),
         "country_transactions": country_rows(tx, [cfg.high_risk_country]),
-        "customers_with_country": customers_with_country(tx, [cfg.high_risk_country], cfg=cfg),
-        "customers_with_outliers": customers_with_country(tx, cfg.outlier_countries, cfg=cfg),
+        "customers_with_country": customers_with_country(tx, [cfg.high_risk_country]),
+        "customers_with_outliers": customers_with_country(tx, cfg.outlier_countries),
         "customer_sign_profile": customer_sign_profile(tx),
         "customer_country_profile": customer_country_profile(tx),
         "round_amounts": round_amounts(tx, cfg.round_unit),

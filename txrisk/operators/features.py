@@ -1,9 +1,9 @@
 """Risk features (drivers a-h) over the clean transactions.
 
 Every feature is a roll-up of one mergeable profile: per (customer, sign) counts, sums
-and sums of squares. Building the profile is the only pass over the clean fact table;
+and sums of squares. Building the profile is one pass over the fact table;
 partial aggregation runs before the shuffle, so a customer holding a third of all rows
-still sends one row per map task. Each operator also accepts the clean table directly.
+still sends one row per map task. Each operator also accepts the transactions directly.
 """
 
 from __future__ import annotations
@@ -12,35 +12,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.functions.scoring import flag, frequency_score, ratio_or_sentinel, threshold_columns
-from txrisk.functions.skew import salted_join
+from txrisk.functions.scoring import (
+    alert_bounds,
+    centred,
+    flag,
+    frequency_score,
+    ratio_or_sentinel,
+    threshold_columns,
+)
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 
 PROFILE_MARKER = "n_rows"
 
 
-def customer_profile(clean: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """(CustomerID, TransactionSign) -> additive statistics of the clean rows.
+def customer_profile(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """(CustomerID, TransactionSign) -> additive statistics, of raw or clean transactions.
 
-    NULL customers and NULL signs stay as keys: the counting rules need them, only the
-    joins drop them. ``q_amt`` is exact (decimal), so thresholds do not depend on how
-    rows were split over tasks.
+    ``seen`` counts every row with a customer, as the alert totals read the raw table; all
+    other columns count the clean rows (positive amount) alone. NULL customers and NULL
+    signs stay as keys: the counting rules need them, only the joins drop them. ``q_amt``
+    is exact (decimal), so thresholds do not depend on how rows were split over tasks.
     """
     amt = F.col(AMT)
-    per_country = [F.count(F.when(F.col(CTRY) == c, 1)).alias(f"n_{c}") for c in cfg.countries]
-    return clean.groupBy(ID, SIGN).agg(
-        F.count(F.lit(1)).alias(PROFILE_MARKER),
-        F.count(F.col(ID)).alias("n_id"),
-        F.count(F.col(CTRY)).alias("n_ctry"),
-        F.count(amt).alias("n_amt"),
-        F.sum(amt).alias("s_amt"),
-        F.sum((amt.cast("long") * amt.cast("long")).cast("decimal(20,0)")).alias("q_amt"),
-        *per_country,
+    positive = amt > 0
+
+    def clean_count(what) -> Column:
+        return F.count(F.when(positive, what))
+
+    square = (amt.cast("long") * amt.cast("long")).cast("decimal(20,0)")
+    return tx.groupBy(ID, SIGN).agg(
+        F.count(F.col(ID)).alias("seen"),
+        clean_count(F.lit(1)).alias(PROFILE_MARKER),
+        clean_count(F.col(ID)).alias("n_id"),
+        clean_count(F.col(CTRY)).alias("n_ctry"),
+        F.sum(F.when(positive, amt)).alias("s_amt"),
+        F.sum(F.when(positive, square)).alias("q_amt"),
+        *[F.count(F.when(positive & (F.col(CTRY) == c), 1)).alias(f"n_{c}") for c in cfg.countries],
     )
 
 
 def as_profile(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Accept either the clean transactions or an already built profile."""
+    """Accept transactions (raw or clean) or an already built profile."""
     return df if PROFILE_MARKER in df.columns else customer_profile(df, cfg)
 
 
@@ -49,8 +61,8 @@ def _sum_when_sign(sign: str, col: str) -> Column:
 
 
 def _customer_sums(profile: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """Roll the profile up to one row per customer: the inputs of every feature."""
-    return profile.groupBy(ID).agg(
+    """Roll the profile up to one row per customer with a clean row: the inputs of every feature."""
+    return profile.where(F.col(PROFILE_MARKER) > 0).groupBy(ID).agg(
         F.sum("n_ctry").alias("num_ctry"),
         F.sum("s_amt").alias("amount"),
         *[F.sum(f"n_{c}").alias(f"cnt_{c}") for c in cfg.countries],
@@ -158,42 +170,91 @@ def customer_features(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     return sums.select(*cols)
 
 
+def _keyed_groups(df: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """(customer, sign) groups with clean rows, both keys and their centred moments."""
+    p = as_profile(df, cfg).where((F.col(PROFILE_MARKER) > 0) & F.col(ID).isNotNull() & F.col(SIGN).isNotNull())
+    return p.withColumns(centred(F.col(PROFILE_MARKER), F.col("s_amt"), F.col("q_amt")))
+
+
 def sign_thresholds(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """(h) per (customer, sign): mean, population stdev, threshold = mean + 2 sigma.
 
     Groups with a NULL customer or sign are left out (the mean and stdev tables are
     joined on ``=``). A one-row group has sigma 0, so its only row sits on the threshold.
     """
-    p = as_profile(df, cfg).where(F.col(ID).isNotNull() & F.col(SIGN).isNotNull())
-    cols = threshold_columns(F.col("n_amt"), F.col("s_amt"), F.col("q_amt"), cfg)
+    n = F.col(PROFILE_MARKER)
+    cols = threshold_columns(n, cfg)
     if cfg.min_group_size > 1:
-        big = F.col("n_amt") >= cfg.min_group_size
-        cols["threshold_single_transaction"] = F.when(big, cols["threshold_single_transaction"])
-    return p.select(ID, SIGN, *[c.alias(name) for name, c in cols.items()])
+        cols["threshold_single_transaction"] = F.when(n >= cfg.min_group_size, cols["threshold_single_transaction"])
+    return _keyed_groups(df, cfg).select(ID, SIGN, *[c.alias(name) for name, c in cols.items()])
+
 
+def sign_bounds(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Per (customer, sign): the threshold and the exact whole amounts that reach and pass it."""
+    n = F.col(PROFILE_MARKER)
+    threshold = "threshold_single_transaction"
+    groups = _keyed_groups(df, cfg).where(n >= cfg.min_group_size)
+    groups = groups.withColumn(threshold, threshold_columns(n, cfg)[threshold])
+    bounds = alert_bounds(n, F.col(threshold), cfg)
+    return groups.select(ID, SIGN, threshold, *[c.alias(name) for name, c in bounds.items()])
 
-def alert_flag(amount: Column, threshold: Column) -> Column:
-    """1 when the amount reaches the customer's own threshold; a missing threshold is 0."""
-    return flag(amount >= threshold)
 
+def alert_rows(tx: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Transactions that reach their own threshold, one row per distinct transaction with
+    its ``copies``; ``above`` marks those strictly above it. The only join of fact rows:
+    alert counts, outliers and the top-k list are all read from its result.
 
-def unusual_alerts(raw: DataFrame, thresholds: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    A threshold is positive, so rows with a non-positive amount or a NULL key never match
+    and are not moved. The rest are counted per distinct transaction before the exchange:
+    copies of a hot customer collapse in the map tasks, and its other rows spread by amount.
+    """
+    facts = (
+        tx.where((F.col(AMT) > 0) & F.col(ID).isNotNull() & F.col(SIGN).isNotNull())
+        .groupBy(ID, SIGN, AMT, CTRY)
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    return (
+        facts.join(bounds, [ID, SIGN], "inner")
+        .where(F.col(AMT) >= F.col("alert_from"))
+        .select(
+            ID, SIGN, AMT, CTRY, "copies", "threshold_single_transaction",
+            (F.col(AMT) >= F.col("outlier_from")).alias("above"),
+        )
+    )
+
+
+def unusual_alerts(profile: DataFrame, alerts: DataFrame) -> DataFrame:
     """Per customer of the raw table: rows, and rows at or above their own threshold.
 
-    The probe side is the raw table, as published: non-positive rows count in the total.
-    The join is followed by an exchange on CustomerID, so AQE may split a skewed
-    (customer, sign) partition of the probe side; partial aggregation then shrinks it.
-    With ``hot`` (see :mod:`txrisk.functions.skew`) hot keys are salted explicitly.
+    Totals come from the profile of the raw rows, so non-positive ones count, as published;
+    ``alerts`` are the customer's :func:`alert_rows`.
     """
-    facts = raw.select(ID, SIGN, AMT)
-    dims = thresholds.select(ID, SIGN, "threshold_single_transaction")
-    j = salted_join(facts, dims, hot, "left") if hot is not None else facts.join(dims, [ID, SIGN], "left")
-    return j.groupBy(ID).agg(
-        F.count(F.col(ID)).alias("total_num_transactions"),
-        F.sum(alert_flag(F.col(AMT), F.col("threshold_single_transaction"))).alias("num_unusual_transactions"),
+    seen = profile.groupBy(ID).agg(F.sum("seen").alias("total_num_transactions"))
+    hits = alerts.groupBy(ID).agg(F.sum("copies").alias("_hits"))
+    none = F.lit(0).cast("long")
+    return seen.join(hits, ID, "left").select(
+        ID, "total_num_transactions", F.coalesce("_hits", none).alias("num_unusual_transactions")
+    )
+
+
+def transaction_alerts(tx: DataFrame, profile: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Every raw transaction with its customer's threshold, alert flag and deviation
+    (threshold - amount). Rows without a threshold have flag 0 and a NULL deviation; those
+    with a NULL key can have none and stay out of the join."""
+    bounds = sign_bounds(profile, cfg)
+    keyed = F.col(ID).isNotNull() & F.col(SIGN).isNotNull()
+    rows = tx.select(ID, SIGN, AMT, CTRY)
+    known = rows.where(keyed).join(bounds, [ID, SIGN], "left")
+    both = known.unionByName(rows.where(~keyed), allowMissingColumns=True)
+    return both.select(
+        ID, SIGN, AMT, CTRY, "threshold_single_transaction",
+        flag(F.col(AMT) >= F.col("alert_from")).alias("transaction_unusual_alert"),
+        (F.col("threshold_single_transaction") - F.col(AMT)).alias("deviation_amount"),
     )
 
 
 def customer_base(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Distinct customers of the clean table or of its profile (NULL included)."""
+    """Distinct customers of the clean table, or of a profile's clean rows (NULL included)."""
+    if PROFILE_MARKER in df.columns:
+        df = df.where(F.col(PROFILE_MARKER) > 0)
     return df.select(ID).distinct()

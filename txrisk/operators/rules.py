@@ -7,56 +7,43 @@ from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
-from txrisk.functions.skew import hot_customer_keys, salted_join
 from txrisk.functions.stats import nearest_rank_percentiles, percentile_name
-from txrisk.operators.features import alert_flag
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 
 OUTLIER_ORDER = ("deviation_amount", ID, SIGN, AMT, CTRY)
 
 
-def threshold_breaches(clean: DataFrame, thresholds: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Clean rows strictly above their customer's threshold, with threshold and deviation.
+#: Copies of one transaction written per generated array, so no array grows with the data.
+COPY_BLOCK = 65_536
 
-    A row without a threshold can never pass ``threshold - amount < 0``, so the
-    threshold join is an inner join. With ``hot``, hot keys are salted explicitly.
-    """
+
+def threshold_breaches(alerts: DataFrame, *more: str) -> DataFrame:
+    """Clean rows strictly above their customer's threshold, with threshold and deviation,
+    from the kept :func:`txrisk.operators.features.alert_rows` (each copy a row again)."""
     thr = F.col("threshold_single_transaction")
-    facts = clean.select(ID, SIGN, AMT, CTRY)
-    dims = thresholds.select(ID, SIGN, "threshold_single_transaction")
-    joined = salted_join(facts, dims, hot, "inner") if hot is not None else facts.join(dims, [ID, SIGN], "inner")
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPY_BLOCK}")))
+    left = F.least(F.lit(COPY_BLOCK).cast("long"), F.col("copies") - F.col("_block") * COPY_BLOCK)
     return (
-        joined.where(thr - F.col(AMT) < 0)
-        .select(
-            ID,
-            SIGN,
-            AMT,
-            CTRY,
-            thr.alias("threshold_single_transaction"),
-            alert_flag(F.col(AMT), thr).alias("transaction_unusual_alert"),
-            (thr - F.col(AMT)).alias("deviation_amount"),
-        )
+        alerts.where("above")
+        .withColumn("_block", block)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
+        .select(ID, SIGN, AMT, CTRY, thr, F.lit(1).alias("transaction_unusual_alert"), (thr - F.col(AMT)).alias("deviation_amount"), *more)
     )
 
 
-def with_rating(breaches: DataFrame, rating: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Attach each customer's segment and total score (hot customers salted if ``hot``)."""
-    scores = rating.select(ID, "Risk_Segment", "TOTAL_Score")
-    if hot is not None:
-        return salted_join(breaches, scores, hot_customer_keys(hot), "left", keys=(ID,))
-    return breaches.join(scores, ID, "left")
+def with_rating(breaches: DataFrame, rating: DataFrame) -> DataFrame:
+    """Attach each customer's segment and total score."""
+    return breaches.join(rating.select(ID, "Risk_Segment", "TOTAL_Score"), ID, "left")
 
 
-def outlier_transactions(
-    clean: DataFrame, thresholds: DataFrame, rating: DataFrame, order: bool = True, hot: DataFrame | None = None
-) -> DataFrame:
+def outlier_transactions(alerts: DataFrame, rating: DataFrame, order: bool = True) -> DataFrame:
     """Clean rows strictly above their customer's threshold, with the customer's rating.
 
-    The filter runs before the rating join, which then only moves outlier rows. Sorted
-    by deviation (most negative first) when ``order``; ties are broken on the row
-    values so the order is total.
+    Only alert rows meet the rating, and copies are written after that join. Sorted by
+    deviation (most negative first) when ``order``; ties are broken on the row values so
+    the order is total.
     """
-    out = with_rating(threshold_breaches(clean, thresholds, hot), rating, hot)
+    out = threshold_breaches(with_rating(alerts.where("above"), rating), "Risk_Segment", "TOTAL_Score")
     return total_order(out, *OUTLIER_ORDER) if order else out
 
 
@@ -65,18 +52,25 @@ def top_outliers(outliers: DataFrame, k: int = DEFAULT.top_k) -> DataFrame:
     return outliers.orderBy(*OUTLIER_ORDER).limit(k)
 
 
-def country_incoming(clean: DataFrame, rating: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+def country_credits(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Clean incoming (credit) rows from the high-risk country."""
+    return tx.where((F.col(AMT) > 0) & (F.col(CTRY) == cfg.high_risk_country) & (F.col(SIGN) == cfg.credit))
+
+
+def rows_of_concerned(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Every row of the customers that :func:`country_incoming` lists: a rating depends on the
+    customer's own rows only, so no other customer needs one for Parts III and IV."""
+    return tx.join(country_credits(tx, cfg).select(ID).distinct(), ID, "left_semi")
+
+
+def country_incoming(tx: DataFrame, rating: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Total incoming (credit) amount from the high-risk country per customer, with segment.
 
     Aggregated before the join: the segment depends on the customer only, so grouping by
     (customer, segment) after the join gives the same rows, but the join then moves one
     row per customer instead of every transaction.
     """
-    incoming = (
-        clean.where((F.col(CTRY) == cfg.high_risk_country) & (F.col(SIGN) == cfg.credit))
-        .groupBy(ID)
-        .agg(F.sum(AMT).alias("TransactionAmount"))
-    )
+    incoming = country_credits(tx, cfg).groupBy(ID).agg(F.sum(AMT).alias("TransactionAmount"))
     return incoming.join(rating.select(ID, "Risk_Segment"), ID, "left").select(ID, "TransactionAmount", "Risk_Segment")
 
 

@@ -117,7 +117,7 @@ def run_report(spark: SparkSession, tx: DataFrame, out: str, cfg: RiskConfig = D
     wide = save("risk_features_wide", run.wide)
     rating = save("risk_rating", rat.risk_rating(rat.risk_points(wide, cfg), cfg))
     save("segment_summary", rat.segment_summary(rating))
-    save("outlier_transactions", rules.outlier_transactions(run.clean, run.thresholds, rating))
+    save("outlier_transactions", rules.outlier_transactions(run.alert_rows, rating))
     save("top_outlier_transactions", run.top_outliers())
     incoming = save("romania_incoming", rules.country_incoming(run.clean, rating, cfg))
     save("segment_thresholds", rules.segment_thresholds(incoming, cfg))

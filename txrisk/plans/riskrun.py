@@ -2,34 +2,27 @@
 
 Physical shape (at any scale):
 
-1. ``profile`` = clean rows grouped by (customer, sign): partial aggregation, then one
-   shuffle of partial rows. Written to the reliable checkpoint folder, because four
-   consumers read it; lineage is cut there, so a lost executor costs a re-read.
-2. ``features`` = profile rolled up by customer (shuffle of profile rows only).
-3. ``alerts`` = raw rows LEFT JOIN thresholds on (customer, sign), then grouped by
-   customer. This is the one shuffle of fact rows (three columns). The exchange on
-   customer after the join lets AQE split a skewed (customer, sign) partition.
-4. ``rating`` = features LEFT JOIN alerts on customer: both sides are already hash
-   partitioned on the customer, so the join adds no exchange.
-
-Thresholds and ratings grow with the customer count, so nothing is broadcast on a
-guess. The profile's row count is measured while it is written (an observation of the
-checkpoint job, no extra pass); only when it is at most ``threshold_broadcast_rows``
-are the thresholds broadcast (unless the session turns broadcast joins off), which
-removes the fact-row shuffle of step 3. Otherwise the shuffle join stands, and AQE may
-still broadcast after measuring at runtime. If the session has AQE skew-join handling
-off, hot (customer, sign) keys are salted explicitly (:mod:`txrisk.functions.skew`).
+1. ``profile`` = raw rows grouped by (customer, sign): partial aggregation, then one
+   shuffle of partial rows. It holds the raw row counts and the clean measures.
+2. ``alert_rows`` = positive rows counted per distinct transaction, joined once to the
+   bounds of their (customer, sign): the only join of fact rows. The few that reach
+   their bound are kept; alert counts, outliers and the top-k list read them.
+3. ``rating`` = profile rolled up by customer LEFT JOIN alert rows summed by customer.
+
+Both kept tables are written to the shared folder and read back, because several consumers
+read them: lineage is cut there, so a lost executor costs a re-read, and a consumer reads
+only its columns. Bounds and ratings grow with the customer count, so nothing is broadcast
+on a guess: AQE broadcasts a side where its measured size allows, and splits skewed ones.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.functions.skew import aqe_splits_skew, hot_keys
 from txrisk.operators import features as feat
 from txrisk.operators import rating as rat
 from txrisk.operators import rules
@@ -41,61 +34,40 @@ from txrisk.sources.schema import COLUMNS, ID
 class RiskRun:
     """The rating of one raw transaction table, with everything built on it.
 
-    Constructing it runs one job: the customer profile is aggregated and written to the
-    reliable checkpoint folder (skip with ``checkpoint=False`` for tiny inputs such as
-    one customer). Every attribute after that is a lazy DataFrame:
-    ``thresholds``, ``features``, ``alerts``, ``wide``, ``points``, ``rating``,
-    ``segment_summary``, ``outliers()``, ``top_outliers()``, ``incoming``,
-    ``segment_thresholds`` and ``rule_hits``.
+    Constructing it runs one job: the customer profile is aggregated and kept (skip with
+    ``checkpoint=False`` for tiny inputs such as one customer). The alert rows are kept when
+    they are first asked for. Every attribute is a DataFrame: ``thresholds``, ``features``,
+    ``alert_rows``, ``alerts``, ``wide``, ``points``, ``rating``, ``segment_summary``,
+    ``outliers()``, ``top_outliers()``, ``incoming``, ``segment_thresholds``, ``rule_hits``
+    and the per-row ``transaction_alerts``.
     """
 
     def __init__(self, raw: DataFrame, cfg: RiskConfig = DEFAULT, checkpoint: bool = True):
         self.cfg = cfg
         self.raw = raw.select(*COLUMNS)
         self.clean = clean(self.raw)
-        profile = feat.customer_profile(self.clean, cfg)
-        self.profile_rows: int | None = None
-        self.clean_rows: int | None = None
-        if checkpoint:
-            seen = Observation("txrisk_profile")
-            self.profile = materialize(
-                profile.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum("n_rows").alias("clean_rows"))
-            )
-            self.profile_rows = seen.get["rows"]
-            self.clean_rows = seen.get["clean_rows"] or 0
-        else:
-            self.profile = profile
-
-    def _conf(self, key: str, default: str) -> str:
-        return str(self.raw.sparkSession.conf.get(key, default)).strip().lower()
+        self._keep = materialize if checkpoint else lambda df: df
+        self.profile = self._keep(feat.customer_profile(self.raw, cfg))
 
     @cached_property
     def thresholds(self) -> DataFrame:
-        """Never hinted: AQE broadcasts it where its measured size allows, else it shuffles."""
         return feat.sign_thresholds(self.profile, self.cfg)
 
-    @cached_property
-    def hot(self) -> DataFrame | None:
-        """Hot (customer, sign) keys to salt in the threshold joins, or None.
-
-        Not needed when AQE splits skewed partitions itself; ``cfg.salt_hot_keys`` overrides the choice.
-        """
-        if self.clean_rows is None:
-            return None
-        wanted = self.cfg.salt_hot_keys
-        if wanted is None:
-            wanted = not aqe_splits_skew(self.raw)
-        if not wanted:
-            return None
-        return hot_keys(self.profile, self.clean_rows, self.cfg.hot_key_rows, self.cfg.max_hot_keys)
-
     @cached_property
     def features(self) -> DataFrame:
         return feat.customer_features(self.profile, self.cfg)
 
+    @cached_property
+    def alert_rows(self) -> DataFrame:
+        return self._keep(feat.alert_rows(self.raw, feat.sign_bounds(self.profile, self.cfg)))
+
     @cached_property
     def alerts(self) -> DataFrame:
-        return feat.unusual_alerts(self.raw, self.thresholds, self.hot)
+        return feat.unusual_alerts(self.profile, self.alert_rows)
+
+    @cached_property
+    def transaction_alerts(self) -> DataFrame:
+        return feat.transaction_alerts(self.raw, self.profile, self.cfg)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -114,29 +86,21 @@ class RiskRun:
         return rat.segment_summary(self.rating)
 
     def outliers(self, order: bool = True) -> DataFrame:
-        return rules.outlier_transactions(self.clean, self.thresholds, self.rating, order=order, hot=self.hot)
+        return rules.outlier_transactions(self.alert_rows, self.rating, order=order)
 
     def top_outliers(self, k: int | None = None) -> DataFrame:
         """The k heaviest deviations with their customers' ratings.
 
-        Only k customers need a rating, and a rating depends on the customer's own rows
-        only. So the k rows are materialised first and rated from the profile and raw
-        rows of those customers alone: the raw pass is a broadcast semi join (at most k
-        keys) instead of the full threshold join with its shuffle of every row.
+        Read from the kept alert rows, without another pass over the facts. Only k customers
+        need a rating: the kept k rows give a key list of at most k for the semi joins.
         """
-        breaches = rules.threshold_breaches(self.clean, self.thresholds, self.hot)
-        top = materialize(rules.top_outliers(breaches, k or self.cfg.top_k))
-        return rules.with_rating(top, self._rating_of_top(top))
-
-    def _rating_of_top(self, top: DataFrame) -> DataFrame:
-        """Ratings of the customers of a materialised top-k list: at most k keys, the
-        only broadcast here. Their thresholds are left to AQE, which measures them."""
+        k = self.cfg.top_k if k is None else k
+        top = self._keep(rules.top_outliers(rules.threshold_breaches(self.alert_rows), k))
         keys = F.broadcast(top.select(ID).distinct())
         profile = self.profile.join(keys, ID, "left_semi")
-        raw = self.raw.join(keys, ID, "left_semi")
-        thresholds = feat.sign_thresholds(profile, self.cfg)
-        wide = rat.risk_features_wide(feat.customer_features(profile, self.cfg), feat.unusual_alerts(raw, thresholds))
-        return rat.risk_rating(rat.risk_points(wide, self.cfg), self.cfg)
+        alerts = feat.unusual_alerts(profile, self.alert_rows.join(keys, ID, "left_semi"))
+        wide = rat.risk_features_wide(feat.customer_features(profile, self.cfg), alerts)
+        return rules.with_rating(top, rat.risk_rating(rat.risk_points(wide, self.cfg), self.cfg))
 
     @cached_property
     def incoming(self) -> DataFrame:
@@ -151,6 +115,12 @@ class RiskRun:
         return rules.rule_hits(self.incoming, self.cfg)
 
 
+def country_rule_run(raw: DataFrame, cfg: RiskConfig = DEFAULT) -> RiskRun:
+    """A run for Parts III and IV alone (``incoming``, ``segment_thresholds``, ``rule_hits``):
+    it profiles and rates only the customers with a credit from the high-risk country."""
+    return RiskRun(rules.rows_of_concerned(raw.select(*COLUMNS), cfg), cfg)
+
+
 def rate_customers(raw: DataFrame, cfg: RiskConfig = DEFAULT, checkpoint: bool = True) -> DataFrame:
     """Risk rating of every customer of ``raw``."""
     return RiskRun(raw, cfg, checkpoint).rating

@@ -7,6 +7,7 @@ and let AQE coalesce small ones and split skewed ones at runtime.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,10 +74,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` as parquet below the checkpoint folder and read it back.
 
-    Used for small intermediates read by several consumers (the customer profile):
-    a lost executor then costs a re-read, not a re-scan of the fact table.
+    Used for intermediates with several consumers (the customer profile, the alert rows): a
+    lost executor then costs a re-read, not a re-scan of the fact table, and each consumer
+    reads only its columns. Files stay until the folder is cleaned, as checkpoints do
+    across sessions.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    if folder is None:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for kept tables")
+    path = f"{folder.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
