@@ -59,6 +59,55 @@ def test_outliers_are_strict(micro):
     assert not any(r["CustomerID"] in (1, 2, 3, 4, 5, 6, 7, 12) for r in out)
 
 
+def test_country_rule_lists_the_null_customer_without_a_segment(spark):
+    from txrisk.plans.riskrun import country_rule_run
+    from txrisk.sources.schema import TRANSACTION_SCHEMA
+
+    rows = [(None, "Credit", 5, "RO"), (None, "Credit", 6, "RO"), (1, "Credit", 7, "RO"), (2, "Credit", 8, "FI")]
+    got = {tuple(r) for r in country_rule_run(spark.createDataFrame(rows, TRANSACTION_SCHEMA)).incoming.collect()}
+    # customer 1: high-risk share 3, not Nordic 1, many-to-one 1, one-row group alerts 1
+    assert got == {(None, 11, None), (1, 7, "High")}
+
+
+def test_clusters_reach_six_and_the_gap(micro):
+    """Counts of 501 and 500: cluster 6, and the one count that no cluster takes."""
+    got = {r["CustomerID"]: r["ScoreFrequency"] for r in RiskRun(micro).wide.selectExpr("CustomerID", "freq_ScoreFrequency ScoreFrequency").collect()}
+    assert got[2] == 6 and got[1] is None and got[3] == 5
+
+
+#: Sorted results -> (column, descending) of the published order; ties follow the other columns.
+SORTED = {
+    "records_per_customer": ("customer_records", True),
+    "customer_history": ("TransactionAmount", True),
+    "concentration_by_customer_country": ("num_records", True),
+    "concentration_by_amount": ("num_records", True),
+    "country_distribution_raw": ("num_transactions", True),
+    "customers_with_country": ("CustomerID", False),
+    "customers_with_outliers": ("CustomerID", False),
+    "customer_country_profile": ("CustomerID", False),
+    "round_amounts": ("frequency_transactions", True),
+    "round_amounts_over": ("frequency_transactions", True),
+    "frequency_histogram": ("FrequencyCluster", False),
+    "outlier_transactions": ("deviation_amount", False),
+    "top_outlier_transactions": ("deviation_amount", False),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SORTED))
+def test_sorted_results_come_in_order(spark, name):
+    from test_random_oracle import random_rows
+
+    from txrisk.sources.schema import TRANSACTION_SCHEMA
+
+    rows = random_rows(11, rows=1500)
+    column, descending = SORTED[name]
+    got = [r[column] for r in run_on(name, spark.createDataFrame(rows, TRANSACTION_SCHEMA)).collect()]
+    nulls_first = sorted(got, key=lambda v: (v is not None, v if v is not None else 0))
+    nulls_last = sorted(got, key=lambda v: (v is not None, v if v is not None else 0), reverse=True)
+    assert got == (nulls_last if descending else nulls_first)
+    assert len(set(got)) > 1 or len(got) <= 1
+
+
 KEYS = sorted(k for k, (fx, _) in BUILDERS.items() if fx == "tx_lines" and k not in NO_ORACLE)
 
 

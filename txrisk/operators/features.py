@@ -51,6 +51,16 @@ def customer_profile(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     )
 
 
+def merge_profiles(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """The profile of several periods together: their statistics are additive, so a new
+    month is added to a kept profile without another pass over the old months."""
+    both = first
+    for other in others:
+        both = both.unionByName(other)
+    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in first.schema if f.name not in (ID, SIGN)]
+    return both.groupBy(ID, SIGN).agg(*sums)
+
+
 def as_profile(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Accept transactions (raw or clean) or an already built profile."""
     return df if PROFILE_MARKER in df.columns else customer_profile(df, cfg)

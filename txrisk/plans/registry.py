@@ -17,8 +17,9 @@ from txrisk.operators import explore as ex
 from txrisk.operators import features as feat
 from txrisk.operators import quality as q
 from txrisk.plans.riskrun import RiskRun, country_rule_run, rate_customer
-from txrisk.sources.fixtures import FIXTURES
-from txrisk.sources.ingest import clean
+from txrisk.sources.fixtures import FIXTURES, dirty_lines
+from txrisk.sources.ingest import STATUS, checked_lines, clean
+from txrisk.sources.schema import COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,10 +62,19 @@ def _run(attr: Callable[[RiskRun], DataFrame], fixture: str = "tx_lines") -> Bui
 
 cfg = DEFAULT
 
+
+def loaded_lines(lines: DataFrame) -> DataFrame:
+    """Every line as the loader takes it: its columns if good, NULLs and the reason if not."""
+    loaded = checked_lines(lines)
+    status = F.coalesce(F.col(STATUS), F.lit("good"))
+    return loaded.select(*[F.when(status == "good", F.col(c)).alias(c) for c in COLUMNS], status.alias(STATUS))
+
+
 # name -> (fixture, raw transactions -> result)
 BUILDERS: dict[str, Builder] = {
     # sources
     "clean_transactions": _clean(lambda c: c),
+    "loaded_lines": _raw(lambda tx: loaded_lines(dirty_lines(tx))),
     # data quality (Q1-Q13)
     "import_completeness": _raw(q.import_completeness),
     "records_per_customer": _raw(q.records_per_customer),

@@ -24,6 +24,7 @@ from txrisk.functions.ordering import total_order
 from txrisk.operators import explore, quality, rules
 from txrisk.operators import rating as rat
 from txrisk.plans.riskrun import RiskRun
+from txrisk.session import materialize
 from txrisk.sources.ingest import clean, ingest_transactions, read_ingested
 from txrisk.sources.schema import AMT, CTRY, SIGN
 from txrisk.sources.sinks import write_result
@@ -99,27 +100,36 @@ def run_report(spark: SparkSession, tx: DataFrame, out: str, cfg: RiskConfig = D
     """
     paths: dict[str, str] = {}
 
-    def save(name: str, df: DataFrame) -> DataFrame:
+    def save(name: str, df: DataFrame) -> None:
         path = f"{out.rstrip('/')}/{name}"
         write_result(df, path, fmt)
         paths[name] = path
-        return spark.read.format(fmt).load(path) if fmt == "parquet" else df
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        """Save a result that others are built on. They read it back from parquet: the saved
+        result itself, or a kept copy where results are written as text."""
+        if fmt != "parquet":
+            df = materialize(df)
+        save(name, df)
+        return spark.read.parquet(paths[name]) if fmt == "parquet" else df
 
     cleaned = clean(tx)
     shared = {
-        **sign_checks(save("sign_summary", sign_summary(tx))),
-        **country_checks(save("country_summary", country_summary(tx))),
+        **sign_checks(keep("sign_summary", sign_summary(tx))),
+        **country_checks(keep("country_summary", country_summary(tx))),
     }
     for name, df in {**quality.check_all(tx, cleaned, cfg), **explore.explore_all(tx, cfg)}.items():
         save(name, shared.get(name, df))
 
     run = RiskRun(tx, cfg)
-    wide = save("risk_features_wide", run.wide)
-    rating = save("risk_rating", rat.risk_rating(rat.risk_points(wide, cfg), cfg))
+    save("sign_thresholds", run.thresholds)
+    save("unusual_alerts", run.alerts)
+    wide = keep("risk_features_wide", run.wide)
+    rating = keep("risk_rating", rat.risk_rating(rat.risk_points(wide, cfg), cfg))
     save("segment_summary", rat.segment_summary(rating))
     save("outlier_transactions", rules.outlier_transactions(run.alert_rows, rating))
     save("top_outlier_transactions", run.top_outliers())
-    incoming = save("romania_incoming", rules.country_incoming(run.clean, rating, cfg))
+    incoming = keep("romania_incoming", rules.country_incoming(run.clean, rating, cfg))
     save("segment_thresholds", rules.segment_thresholds(incoming, cfg))
     save("romania_rule_hits", rules.rule_hits(incoming, cfg))
     return paths

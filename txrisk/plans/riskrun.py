@@ -100,12 +100,34 @@ class RiskRun:
         profile = self.profile.join(keys, ID, "left_semi")
         alerts = feat.unusual_alerts(profile, self.alert_rows.join(keys, ID, "left_semi"))
         wide = rat.risk_features_wide(feat.customer_features(profile, self.cfg), alerts)
-        return rules.with_rating(top, rat.risk_rating(rat.risk_points(wide, self.cfg), self.cfg))
+        rated = rules.with_rating(top, rat.risk_rating(rat.risk_points(wide, self.cfg), self.cfg))
+        return rated.orderBy(*rules.OUTLIER_ORDER)  # at most k rows
 
     @cached_property
     def incoming(self) -> DataFrame:
         return rules.country_incoming(self.clean, self.rating, self.cfg)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temporary views of the transactions, the clean view and every result, for
+        ``spark.sql``; returns their names."""
+        views = {
+            "transactions": self.raw,
+            "clean_transactions": self.clean,
+            "sign_thresholds": self.thresholds,
+            "transaction_alerts": self.transaction_alerts,
+            "unusual_alerts": self.alerts,
+            "risk_features_wide": self.wide,
+            "risk_points": self.points,
+            "risk_rating": self.rating,
+            "outlier_transactions": self.outliers(order=False),
+            "romania_incoming": self.incoming,
+            "segment_thresholds": self.segment_thresholds,
+            "romania_rule_hits": self.rule_hits,
+        }
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+        return [prefix + name for name in views]
+
     @cached_property
     def segment_thresholds(self) -> DataFrame:
         return rules.segment_thresholds(self.incoming, self.cfg)
@@ -117,8 +139,12 @@ class RiskRun:
 
 def country_rule_run(raw: DataFrame, cfg: RiskConfig = DEFAULT) -> RiskRun:
     """A run for Parts III and IV alone (``incoming``, ``segment_thresholds``, ``rule_hits``):
-    it profiles and rates only the customers with a credit from the high-risk country."""
-    return RiskRun(rules.rows_of_concerned(raw.select(*COLUMNS), cfg), cfg)
+    it profiles and rates only the customers with a credit from the high-risk country.
+    Credits themselves are read from all rows, as those of the NULL customer, which no join
+    finds and no rating has, are listed too."""
+    run = RiskRun(rules.rows_of_concerned(raw.select(*COLUMNS), cfg), cfg)
+    run.incoming = rules.country_incoming(raw, run.rating, cfg)
+    return run
 
 
 def rate_customers(raw: DataFrame, cfg: RiskConfig = DEFAULT, checkpoint: bool = True) -> DataFrame:

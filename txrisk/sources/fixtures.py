@@ -102,4 +102,29 @@ def tx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_lines(tx: DataFrame) -> DataFrame:
+    """``;``-separated text lines (column ``value``) of transactions. The amount's remainder by
+    20 decides which ones are spoilt: a field missing, no whole amount, country too long, sign
+    too long, sign in lower case, a field too many, an id that is no number."""
+    cid, sign, amount, country = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (ID, SIGN, AMT, CTRY))
+
+    def line(*fields: Column) -> Column:
+        return F.concat_ws(";", *fields)
+
+    spoilt = [
+        line(cid, sign, amount),
+        line(cid, sign, F.concat(amount, F.lit(".5")), country),
+        line(cid, sign, amount, F.concat(country, F.lit("xyz"))),
+        line(cid, F.concat(sign, F.lit("-transfer")), amount, country),
+        line(cid, F.lower(sign), amount, country),
+        line(cid, sign, amount, country, F.lit("x")),
+        line(F.concat(F.lit("A"), cid), sign, amount, country),
+    ]
+    kind = F.abs(F.col(AMT)) % 20
+    value = F.when(kind == 1, spoilt[0])
+    for k, text in enumerate(spoilt[1:], start=2):
+        value = value.when(kind == k, text)
+    return tx.select(value.otherwise(line(cid, sign, amount, country)).alias("value"))
+
+
 FIXTURES = {"tx_lines": tx_lines, "tx_orders": tx_orders}

@@ -2,7 +2,8 @@
 
 File form: ``;`` between fields, one row per line, no header, e.g. ``8816;Credit;5001;FI``.
 A line is quarantined when it does not parse against the declared schema (wrong type,
-missing field) or breaks a declared length (sign > 10, country > 2 characters).
+missing or surplus field), breaks a declared length (sign > 10, country > 2 characters)
+or has a sign other than the two the rules know (an empty sign loads as NULL).
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ def quarantine_reason(cfg: RiskConfig = DEFAULT) -> Column:
     return (
         F.when(F.col(CORRUPT).isNotNull(), F.lit("unparsable"))
         .when(F.length(SIGN) > cfg.max_sign_length, F.lit("sign too long"))
+        .when(~F.col(SIGN).isin(cfg.credit, cfg.debit), F.lit("unknown sign"))
         .when(F.length(CTRY) > cfg.max_country_length, F.lit("country too long"))
     )
 
@@ -49,14 +51,19 @@ def normalize(df: DataFrame) -> DataFrame:
     return df.withColumns({SIGN: F.initcap(F.trim(SIGN)), CTRY: F.upper(F.trim(CTRY))})
 
 
-def load_with_status(spark: SparkSession, path: str, sep: str = ";", cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """All lines with a ``load_status`` column (NULL = good). One scan serves both outputs."""
-    df = parse_lines(spark.read.text(path), sep)
+def checked_lines(lines: DataFrame, sep: str = ";", cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Parsed text lines (column ``value``) with a ``load_status`` column (NULL = good)."""
+    df = parse_lines(lines, sep)
     if cfg.normalize_strings:
         df = normalize(df)
     return df.withColumn(STATUS, quarantine_reason(cfg))
 
 
+def load_with_status(spark: SparkSession, path: str, sep: str = ";", cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """All lines of the files with their ``load_status``. One scan serves both outputs."""
+    return checked_lines(spark.read.text(path), sep, cfg)
+
+
 def read_transactions(
     spark: SparkSession, path: str, sep: str = ";", cfg: RiskConfig = DEFAULT
 ) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.sources.ingest import STATUS, STREAM_LOG, normalize, parse_lines, path_exists, quarantine_reason
+from txrisk.sources.ingest import STATUS, STREAM_LOG, checked_lines, path_exists
 from txrisk.sources.schema import AMT
 
 
@@ -22,10 +22,8 @@ def stream_transactions(
     spark: SparkSession, src_dir: str, sep: str = ";", cfg: RiskConfig = DEFAULT, max_files_per_trigger: int = 1000
 ) -> DataFrame:
     """Streaming DataFrame over the files of ``src_dir`` with a ``load_status`` column."""
-    df = parse_lines(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(src_dir), sep)
-    if cfg.normalize_strings:
-        df = normalize(df)
-    return df.withColumn(STATUS, F.coalesce(quarantine_reason(cfg), F.lit("good")))
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(src_dir)
+    return checked_lines(lines, sep, cfg).withColumn(STATUS, F.coalesce(F.col(STATUS), F.lit("good")))
 
 
 def start_ingest(
