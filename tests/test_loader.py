@@ -19,6 +19,8 @@ LINES = [
     "5;Debit;7",  # field missing
     "6;Creditorsxyz;5;FI",  # sign too long
 ]
+MORE_BAD = {"11;credit;5;FI": "unknown sign", "12;Credit;5;FI;x": "unparsable", "A13;Credit;5;FI": "unparsable",
+            "14;Debit;99999999999;FI": "unparsable", "15;Debit;5;FIN": "country too long"}
 
 
 def _write(lines, folder=None):
@@ -41,6 +43,13 @@ def test_read_transactions_quarantines_bad_lines(spark):
     assert good.count() + bad.count() == len(LINES)
 
 
+def test_every_bad_line_has_its_reason_whatever_is_read(spark):
+    good, bad = read_transactions(spark, _write(["1;Credit;100;FI", "10;;5;", *MORE_BAD]))
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "Credit", 100, "FI"), (10, None, 5, None)]
+    assert sorted(r[0] for r in bad.select("load_status").collect()) == sorted(MORE_BAD.values())
+    assert good.count() == 2 and bad.count() == len(MORE_BAD)
+
+
 def test_ingest_writes_both_outputs_in_one_pass(spark):
     out = tempfile.mkdtemp(prefix="txrisk-out-") + "/tx"
     ingest_transactions(spark, _write(LINES), out)
