@@ -262,3 +262,45 @@ def test_held_out_accuracy(spark):
         c = Counter(zip(w, w[1:], w[2:], strict=False))
         mark = {k + j for k in range(len(w) - 2) if c[(w[k], w[k + 1], w[k + 2])] > 1 for j in range(3)}
         assert base.loc[r.doc_id, ["n_words", "n_repeat_words"]].tolist() == [len(w), len(mark)]
+
+
+def near_copies(a, b, k=5, least=46):
+    """Words of a and b in stretches (from one shared shingle to another) of 50 words and similarity 0.8."""
+    sa, sb = ([tuple(t[i : i + k]) for i in range(len(t) - k + 1)] for t in (a, b))
+    ha, hb = ([i for i, x in enumerate(s) if x in set(o)] for s, o in ((sa, sb), (sb, sa)))
+    got_a, got_b = set(), set()
+    for i in ha:
+        for e in (x + 1 for x in ha if x + 1 - i >= least):
+            left = set(sa[i:e])
+            for u in hb:
+                if sb[u] not in left:
+                    continue
+                for v in (x + 1 for x in hb if x + 1 - u >= least and sb[x] in left):
+                    right = set(sb[u:v])
+                    if {sa[i], sa[e - 1]} <= right and len(left & right) >= 0.8 * len(left | right):
+                        got_a |= set(range(i, e + k - 1))
+                        got_b |= set(range(u, v + k - 1))
+    return got_a, got_b
+
+
+def test_edited_passages_equal_brute_force(spark):
+    rng = np.random.default_rng(21)
+    texts, n = {}, 0
+    for size, edits in ((60, [30]), (55, [25]), (70, [35]), (85, [40]), (66, [20, 47]), (58, [14, 28, 42]), (62, ["add", 30])):
+        own = prose(size, rng).split()
+        copy = list(own)
+        if edits[0] == "add":
+            copy[30:30] = ["new", "words"]
+        for i in edits:
+            if i != "add":
+                copy[i] = "changed"
+        for words in (own, copy):
+            texts[n] = prose(25, rng).split() + words + prose(25, rng).split()
+            n += 1
+    want = {}
+    for a in range(0, n, 2):
+        want[a], want[a + 1] = near_copies(texts[a], texts[a + 1])
+    got = {i: set() for i in texts}
+    for r in rows(passages.repeated_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string"))).itertuples():
+        got[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+    assert got == want and sum(bool(x) for x in want.values()) >= 10
