@@ -304,3 +304,12 @@ def test_edited_passages_equal_brute_force(spark):
     for r in rows(passages.repeated_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string"))).itertuples():
         got[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
     assert got == want and sum(bool(x) for x in want.values()) >= 10
+
+
+def test_every_place_of_a_passage_in_the_smallest_document(spark):
+    rng = np.random.default_rng(31)
+    shared, alone = prose(70, rng), prose(60, rng)
+    texts = [(0, f"{shared} {prose(30, rng)} {shared} {alone} {prose(30, rng)} {shared} {alone}"), (1, f"{prose(20, rng)} {shared}"), (2, prose(90, rng)), (3, f"{shared} {prose(40, rng)} {shared}")]
+    got = rows(passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)))
+    assert sorted(got[got.doc_id == 0].start_word) == [0, 100, 260] and (got[got.doc_id == 0].n_links == 2).all()
+    assert len(got[got.doc_id == 3]) == 2 and len(got[got.doc_id == 1]) == 1 and got.n_words.between(70, 76).all()
