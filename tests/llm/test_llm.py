@@ -313,3 +313,19 @@ def test_every_place_of_a_passage_in_the_smallest_document(spark):
     got = rows(passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)))
     assert sorted(got[got.doc_id == 0].start_word) == [0, 100, 260] and (got[got.doc_id == 0].n_links == 2).all()
     assert len(got[got.doc_id == 3]) == 2 and len(got[got.doc_id == 1]) == 1 and got.n_words.between(70, 76).all()
+
+
+def test_blocks_of_the_benchmark_do_not_change_the_similarity(spark, monkeypatch):
+    rng = np.random.default_rng(41)
+    common = prose(30, rng)
+    items = [(i, f"{common} {prose(20, rng)}") for i in range(12)] + [(50, prose(40, rng))] * 2
+    docs = []
+    for d, (_, t) in enumerate(items):
+        w = t.split()
+        w[[3, 20, 40, 5][d % 4]] = "changed"
+        docs.append((d, f"{prose(20, rng)} {' '.join(w)} {prose(20, rng)}"))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = rows(dc.leaks(*frames)).sort_values(["doc_id", "item_id", "similarity"])
+    monkeypatch.setattr(dc, "BLOCK_CHARS", sum(len(t) for _, t in dict(items).items()) // 3 + 1)
+    many = rows(dc.leaks(*frames)).sort_values(["doc_id", "item_id", "similarity"])
+    assert len(one) >= 8 and one.astype(float).round(9).to_numpy().tolist() == many.astype(float).round(9).to_numpy().tolist()

@@ -13,10 +13,13 @@ values tells the items, and the full distance is counted for those alone.
 
 Candidates are verified on whole shingle sets: over the item-sized stretches of the document
 around the window, the similarity is sum of weights of common shingles (by the smaller count)
-over that of all, a shingle's weight being ln(1 + items / items that hold it).
+over that of all, a shingle's weight being ln(1 + items / items that hold it), by counts over the whole
+benchmark (one that no item holds weighs as one that a single item holds).
 
-The benchmark is read in blocks of about ``BLOCK_CHARS`` characters, each broadcast (that is
-its proven size) and matched against all documents.
+The benchmark's distinct texts are read in blocks of about ``BLOCK_CHARS`` characters and
+``BLOCK_ITEMS`` texts (64 kB of masks each), each broadcast and matched against all
+documents. The weights of the shingles that two items or more hold go with every block, 16
+bytes each: a stretch may hold shingles of other blocks' items.
 
 Defined cases: items of fewer than 5 words are no evidence and never match; null or empty
 texts match nothing; rows with a null doc_id or item_id are matched and carry the null;
@@ -36,10 +39,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm.shared import ship, stored, table
-from txrisk.llm.textvec import U, mix, shingles, slices, words
+from txrisk.llm.textvec import U, distinct_by_row, mix, shingles, slices, words
 
 BITS, BLOCKS = 128, 8
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 2000
 SLICE = 1 << 19
 
 
@@ -166,7 +169,20 @@ def candidates(sums: BitSums, g: Group) -> Iterator[tuple[int, np.ndarray]]:
             yield m, start[at[near]]
 
 
-def best_match(doc: np.ndarray, item: Counter, size: int, total: float, weight: dict[int, float], rare: float, starts: np.ndarray, width: int, least: float) -> tuple[float, int] | None:
+class Weights:
+    """Weights of shingles; ``key`` has the ascending ones that two items or more hold."""
+
+    def __init__(self, key: np.ndarray, n: np.ndarray, n_items: int):
+        self.key, self.value, self.rare = key, np.log(1 + n_items / n), log(1 + max(n_items, 1))
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if not self.key.size:
+            return np.full(h.size, self.rare)
+        at = np.minimum(np.searchsorted(self.key, h), self.key.size - 1)
+        return np.where(self.key[at] == h, self.value[at], self.rare)
+
+
+def best_match(doc: np.ndarray, item: Counter, size: int, total: float, weights: Weights, starts: np.ndarray, width: int, least: float) -> tuple[float, int] | None:
     """The best stretch of ``size`` shingles that lies in one of the windows."""
     at = np.unique(np.concatenate([np.arange(max(0, min(s, doc.size - size)), max(0, min(s + width - 1, doc.size - size)) + 1) for s in starts.tolist()]))
     lo, hi = int(at[0]), int(min(at[-1] + size, doc.size))
@@ -178,14 +194,15 @@ def best_match(doc: np.ndarray, item: Counter, size: int, total: float, weight:
     hits = c[np.minimum(at + size, doc.size) - lo] - c[at - lo]
     # a first exact bound: even if all hits counted with the largest weight
     at, hits = at[hits > 0], hits[hits > 0]
-    best = None
-    top = max(weight.get(int(k), rare) for k in keys)
+    best, weight = None, None
+    top = float(weights.of(keys).max())
     for s, n in sorted(zip(at.tolist(), hits.tolist(), strict=True), key=lambda x: (-x[1], x[0])):
         if n * top < least * total or (best is not None and n * top <= best[0] * total):
             break
+        weight = weight or dict(zip(part.tolist(), weights.of(part).tolist(), strict=True))
         own = Counter(doc[s : s + size].tolist())
-        common = sum(weight.get(k, rare) * min(v, item[k]) for k, v in own.items() if k in item)
-        all_ = total + sum(weight.get(k, rare) * v for k, v in own.items()) - common
+        common = sum(weight[k] * min(v, item[k]) for k, v in own.items() if k in item)
+        all_ = total + sum(weight[k] * v for k, v in own.items()) - common
         if common >= least * all_ - 1e-12 and (best is None or common / all_ > best[0]):
             best = (common / all_, s)
     return best
@@ -201,33 +218,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig | None = None,
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = stored(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text")), "benchmark")
-    chars, n_items = items.agg(F.sum(F.length("text")), F.count("*")).first()
-    blocks = max(1, -(-int(chars or 0) // BLOCK_CHARS))
-    # weights need each shingle's item count over the whole benchmark
+    texts = items.groupBy("text").agg(F.collect_list(F.struct("item_id")).alias("ids"))
+    chars, n_texts, n_items = texts.agg(F.sum(F.length("text")), F.count("*"), F.sum(F.size("ids"))).first()
+    blocks = max(1, -(-int(chars or 0) // BLOCK_CHARS), -(-n_texts // BLOCK_ITEMS))
+    shared = holders(items, cfg).where("n > 1").toArrow()
+    key, n = (shared.column(i).to_numpy() for i in range(2))
+    order = np.argsort(key.view(np.uint64))
+    weights = spark.sparkContext.broadcast(Weights(key.view(np.uint64)[order], n[order], int(n_items or 0)))
     out = None
     for k in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text").toArrow()
-        found = _match(docs, own, n_items, cfg)
+        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("text").toArrow()
+        found = _match(docs, own, weights, cfg)
         out = found if out is None else out.union(found)
     return out
 
 
-def _match(docs: DataFrame, own: pa.Table, n_items: int, cfg: LeakConfig) -> DataFrame:
-    names = own.column("item_id").to_pylist()
+def holders(items: DataFrame, cfg: LeakConfig) -> DataFrame:
+    """(h, n): the items that hold each shingle."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for s in slices(b.column(0)):
+                row, h, _ = shingles(words(s, lower=True), cfg.words, whole_if_short=False)
+                yield pa.record_batch([pa.array(distinct_by_row(row, h, s.rows)[1].view(np.int64))], names=["h"])
+
+    return items.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n"))
+
+
+def _match(docs: DataFrame, own: pa.Table, weights, cfg: LeakConfig) -> DataFrame:
+    names = [[x["item_id"] for x in ids] for ids in own.column("ids").to_pylist()]
     hashes: list[np.ndarray] = []
     for s in slices(own.column("text")):
         _, h, first = shingles(words(s, lower=True), cfg.words, whole_if_short=False)
         hashes += [h[first[i] : first[i + 1]] for i in range(s.rows)]
-    held = Counter(x for h in hashes for x in set(h.tolist()))
-    weight = {x: log(1 + n_items / n) for x, n in held.items()}
-    rare = log(1 + max(n_items, 1))
     sets = [Counter(h.tolist()) for h in hashes]
-    totals = [sum(weight[x] * n for x, n in c.items()) for c in sets]
+    totals = [float(weights.value.of(h).sum()) for h in hashes]
     groups = index(list(enumerate(hashes)), cfg)
-    shared = docs.sparkSession.sparkContext.broadcast((names, sets, totals, weight, groups))
+    shared = docs.sparkSession.sparkContext.broadcast((names, sets, totals, groups))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, sets, totals, weight, groups = shared.value
+        names, sets, totals, groups = shared.value
         for b in it:
             ids = b.column("doc_id")
             for s in slices(b.column("text"), SLICE):
@@ -244,9 +274,9 @@ def _match(docs: DataFrame, own: pa.Table, n_items: int, cfg: LeakConfig) -> Dat
                         for r in sorted({x for a, z in zip(head.tolist(), last.tolist(), strict=True) for x in range(a, z + 1)}):
                             doc = h[first[r] : first[r + 1]]
                             own = starts[(head <= r) & (last >= r)] - first[r]
-                            got = best_match(doc, sets[k], size, totals[k], weight, rare, own, g.width, cfg.similarity) if doc.size else None
+                            got = best_match(doc, sets[k], size, totals[k], weights.value, own, g.width, cfg.similarity) if doc.size else None
                             if got:
-                                out.append((ids[s.lo + r].as_py(), names[k], got[1], min(size, doc.size) + cfg.words - 1, got[0]))
+                                out += [(ids[s.lo + r].as_py(), name, got[1], min(size, doc.size) + cfg.words - 1, got[0]) for name in names[k]]
                 if out:
                     cols = list(zip(*out, strict=True))
                     yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.float64()], strict=True)], names=[x.split()[0] for x in FOUND.split(", ")])
