@@ -329,3 +329,20 @@ def test_blocks_of_the_benchmark_do_not_change_the_similarity(spark, monkeypatch
     monkeypatch.setattr(dc, "BLOCK_CHARS", sum(len(t) for _, t in dict(items).items()) // 3 + 1)
     many = rows(dc.leaks(*frames)).sort_values(["doc_id", "item_id", "similarity"])
     assert len(one) >= 8 and one.astype(float).round(9).to_numpy().tolist() == many.astype(float).round(9).to_numpy().tolist()
+
+
+PARA = "A long sentence of the article that a reader wants to see in full. "
+
+
+@pytest.mark.parametrize(
+    ("inner", "kept"),
+    [('<div class="overflow-hidden"><p>KEY text</p></div>', True), ('<p title="hidden gems">KEY text</p>', True), ('<a href="/the-hidden-cost">KEY text</a>', True),
+     (f'<section id="discussion"><h2>KEY</h2><p>{PARA * 3}</p></section>', True), ('<h2 id="legal">KEY</h2>', True),
+     ('<div class="article-header"><h1>KEY</h1></div>', True), (f'<div class="related-work"><p>KEY {PARA}</p></div>', True),
+     ('<p hidden>KEY</p>', False), ('<p hidden="until-found">KEY</p>', True), ('<p aria-hidden="true">KEY</p>', False), ('<p style="color:red; display: none">KEY</p>', False),
+     ('<div class="advert">KEY</div>', False), ('<div class="newsletter-signup">KEY</div>', False), ('<section class="comments"><ul><li><a href="#">KEY</a></li><li><a href="#">b</a></li></ul></section>', False)],
+)
+def test_an_article_keeps_what_is_not_furniture(inner, kept):
+    page = f"<html><body><nav>menu</nav><div class='site-footer'>foot</div><article><p>{PARA * 4}</p>{inner}<p>{PARA * 4}</p></article></body></html>"
+    text = html_text.main_text(page)
+    assert ("KEY" in text) == kept and "foot" not in text and text.count(PARA.strip()) >= 8

@@ -3,11 +3,14 @@
 Every DOM node gets its characters C, tags T, link characters LC and link tags LT, and the
 link-adjusted density ``C / T * log_b((C / LC) * (T / LT))`` with
 ``b = ln(C / (C - LC) * LC + LC_body / C_body * C + e)``. A node's density sum is the sum of
-its children's densities. The node with the largest sum is the content; the least density on
+its children's densities, and the length of the text right in it. The node with the largest sum is the content; the least density on
 its path below the body is the threshold that a node beside that path must reach to be taken
-with it. An enclosing ``article`` or ``main`` is taken whole. Elements that HTML or their class
+with it. An enclosing ``article`` or ``main`` is taken whole, whatever the densities. Elements that HTML or their class
 or id names as page furniture (menus, headers, footers, sidebars, notices, adverts, forms,
-comments) count as tags and links of their parents but never give text.
+comments) count as tags and links of their parents but never give text. Inside an article or
+main a class or id must be such a name as a whole, and a section so named stays if it is at
+least half as dense as the article; headings are never judged by name. Hidden elements are
+those with the attribute ``hidden``, ``aria-hidden=true`` or a style ``display: none``.
 
 Defined cases: a null, empty or tagless page (tagless: its own text) works; unclosed and stray
 tags follow the usual recovery (a block ends an open paragraph, an end tag closes what is open
@@ -34,8 +37,8 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)>",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -54,31 +57,44 @@ NAMES = frozenset(
     "header footer copyright legal comment comments commentlist disqus respond reply replies discussion "
     "share sharing social related recommended recommendations widget widgets login search contentinfo complementary".split()
 )
+#: What such a word may also head: the header of a text's own part.
+CONTENT = frozenset("article post entry story content main".split())
 KEEP = frozenset("body html article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "skip", "text", "density", "total")
+    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "skip", "unsure", "text", "density", "total")
 
     def __init__(self, name: str, parent: Node | None, skip: bool):
-        self.name, self.parent, self.skip = name, parent, skip
+        self.name, self.parent, self.skip, self.unsure = name, parent, skip, False
         self.children: list[Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.text: list[tuple[int, str]] = []
         self.density = self.total = 0.0
 
 
-def _furniture(name: str, attrs: str, inside: set[str]) -> bool:
-    if name in FURNITURE or (name == "header" and not inside & {"article", "main"}):
+def _furniture(name: str, attrs: str, inside: set[str]) -> bool | None:
+    """Whether an element is furniture; None if its density is to decide."""
+    text = bool(inside & {"article", "main"})
+    if name in FURNITURE or (name == "header" and not text):
         return True
     if name in KEEP or not attrs:
         return False
-    if _HIDDEN.search(attrs):
+    values: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if "hidden" in values and values["hidden"].strip().lower() != "until-found":
         return True
-    for m in _NAMED.finditer(attrs):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()
-        if NAMES & set(re.split(r"[^a-z0-9]+", value)):
-            return True
+    if values.get("aria-hidden", "").strip().lower() == "true" or _NO_DISPLAY.search(values.get("style", "")):
+        return True
+    if name in HEADINGS:
+        return False
+    for key in ("class", "id", "role"):
+        for token in values.get(key, "").split():
+            parts = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", token).lower())) - {""}
+            if parts and (parts <= NAMES or (not text and parts & NAMES and not (parts & NAMES == {"header"} and parts & CONTENT))):
+                return None if text and name == "section" else True
     return False
 
 
@@ -124,7 +140,9 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                     if stack[i].name in SCOPE:
                         break
             put(None)
-        node = Node(name, stack[-1], stack[-1].skip or _furniture(name, m["attrs"], {n.name for n in stack}))
+        judged = _furniture(name, m["attrs"], {n.name for n in stack})
+        node = Node(name, stack[-1], stack[-1].skip or judged is True)
+        node.unsure = judged is None
         stack[-1].children.append(node)
         nodes.append(node)
         if name not in VOID and not m["attrs"].rstrip().endswith("/"):
@@ -155,6 +173,13 @@ def measure(nodes: list[Node]) -> None:
             c, t, lc, lt = n.chars, max(n.tags, 1), max(n.link_chars, 1), max(n.link_tags, 1)
             base = math.log(c / max(c - n.link_chars, 1) * n.link_chars + ratio * c + math.e)
             n.density = max(0.0, c / t * math.log(c / lc * t / lt) / math.log(base)) if base > 1 else c / t
+    for n in nodes:  # parents before children
+        if n.unsure and not n.skip:
+            text = n.parent
+            while text.name not in ("article", "main"):
+                text = text.parent
+            n.skip = n.density < text.density / 2
+        n.skip = n.skip or (n.parent is not None and n.parent.skip)
     for n in nodes:
         if not n.skip:
             n.total = sum(x.density for x in n.children if not x.skip)
