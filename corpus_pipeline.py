@@ -60,7 +60,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Learnt models, SimHash search and tokens are beyond SQL; tests/llm holds a brute-force version.
+#: Learnt models, SimHash search and tokens are beyond SQL; tests/llm checks each stage's
+#: columns and edge rows, and op2, op3 and op7 against brute force, but not the whole run.
 ORACLE_SQL = None
 
 
