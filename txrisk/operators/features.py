@@ -32,9 +32,12 @@ def customer_profile(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     other columns count the clean rows (positive amount) alone. NULL customers and NULL
     signs stay as keys: the counting rules need them, only the joins drop them. ``q_amt``
     is exact (decimal), so thresholds do not depend on how rows were split over tasks.
+    ``max_amt`` tells which groups can hold an alert at all; ``n_hrc`` and ``s_hrc`` count and
+    sum the rows from the high-risk list (``n_hrc_unlisted``: countries no other column counts).
     """
     amt = F.col(AMT)
     positive = amt > 0
+    listed = F.col(CTRY).isin(list(cfg.high_risk_countries))
 
     def clean_count(what) -> Column:
         return F.count(F.when(positive, what))
@@ -47,7 +50,11 @@ def customer_profile(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
         clean_count(F.col(CTRY)).alias("n_ctry"),
         F.sum(F.when(positive, amt)).alias("s_amt"),
         F.sum(F.when(positive, square)).alias("q_amt"),
+        F.max(F.when(positive, amt)).alias("max_amt"),
         *[F.count(F.when(positive & (F.col(CTRY) == c), 1)).alias(f"n_{c}") for c in cfg.countries],
+        F.count(F.when(positive & listed, 1)).alias("n_hrc"),
+        F.count(F.when(positive & listed & ~F.col(CTRY).isin(list(cfg.countries)), 1)).alias("n_hrc_unlisted"),
+        F.sum(F.when(positive & listed, amt)).alias("s_hrc"),
     )
 
 
@@ -57,8 +64,8 @@ def merge_profiles(first: DataFrame, *others: DataFrame) -> DataFrame:
     both = first
     for other in others:
         both = both.unionByName(other)
-    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in first.schema if f.name not in (ID, SIGN)]
-    return both.groupBy(ID, SIGN).agg(*sums)
+    parts = [(F.max if f.name == "max_amt" else F.sum)(f.name).cast(f.dataType).alias(f.name) for f in first.schema if f.name not in (ID, SIGN)]
+    return both.groupBy(ID, SIGN).agg(*parts)
 
 
 def as_profile(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
@@ -76,6 +83,8 @@ def _customer_sums(profile: DataFrame, cfg: RiskConfig) -> DataFrame:
         F.sum("n_ctry").alias("num_ctry"),
         F.sum("s_amt").alias("amount"),
         *[F.sum(f"n_{c}").alias(f"cnt_{c}") for c in cfg.countries],
+        F.sum("n_hrc").alias("cnt_hrc"),
+        F.sum("n_hrc_unlisted").alias("cnt_hrc_unlisted"),
         _sum_when_sign(cfg.credit, "s_amt").alias("credit_amt"),
         _sum_when_sign(cfg.debit, "s_amt").alias("debit_amt"),
         _sum_when_sign(cfg.credit, "n_id").alias("credit_cnt"),
@@ -91,8 +100,9 @@ def _frequency_cols(cfg: RiskConfig) -> dict[str, Column]:
 def _country_cols(cfg: RiskConfig) -> dict[str, Column]:
     cnt = {c: F.coalesce(F.col(f"cnt_{c}"), F.lit(0).cast("long")) for c in cfg.countries}
     nordics = sum((cnt[c] for c in cfg.nordics), F.lit(0).cast("long"))
-    total = sum((cnt[c] for c in cfg.countries), F.lit(0).cast("long"))
-    hrc = cnt[cfg.high_risk_country]
+    # a high-risk country that no count column has is part of the total all the same
+    total = sum((cnt[c] for c in cfg.countries), F.coalesce(F.col("cnt_hrc_unlisted"), F.lit(0).cast("long")))
+    hrc = F.coalesce(F.col("cnt_hrc"), F.lit(0).cast("long"))
     return {
         **cnt,
         "nordics": nordics,
@@ -200,36 +210,59 @@ def sign_thresholds(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 
 
 def sign_bounds(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Per (customer, sign): the threshold and the exact whole amounts that reach and pass it."""
+    """Per (customer, sign): its rows, the threshold and the exact whole amounts that reach and pass it."""
     n = F.col(PROFILE_MARKER)
     threshold = "threshold_single_transaction"
     groups = _keyed_groups(df, cfg).where(n >= cfg.min_group_size)
     groups = groups.withColumn(threshold, threshold_columns(n, cfg)[threshold])
     bounds = alert_bounds(n, F.col(threshold), cfg)
-    return groups.select(ID, SIGN, threshold, *[c.alias(name) for name, c in bounds.items()])
-
-
-def alert_rows(tx: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Transactions that reach their own threshold, one row per distinct transaction with
-    its ``copies``; ``above`` marks those strictly above it. The only join of fact rows:
-    alert counts, outliers and the top-k list are all read from its result.
-
-    A threshold is positive, so rows with a non-positive amount or a NULL key never match
-    and are not moved. The rest are counted per distinct transaction before the exchange:
-    copies of a hot customer collapse in the map tasks, and its other rows spread by amount.
+    kept = [c for c in ("max_amt",) if c in groups.columns]
+    return groups.select(ID, SIGN, PROFILE_MARKER, *kept, threshold, *[c.alias(name) for name, c in bounds.items()])
+
+
+def reached_bounds(profile: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """The bounds of the groups whose largest amount reaches its bound. No other group has an
+    alert, so only these have to meet the facts."""
+    return sign_bounds(profile, cfg).where(F.col("max_amt") >= F.col("alert_from")).drop("max_amt")
+
+
+def hot_groups(profile: DataFrame) -> DataFrame | None:
+    """The (customer, sign) groups with more than half of a shuffle partition's even share of
+    all rows, None if there is none. They are fewer than twice the shuffle partitions, so their
+    bounds can be broadcast whatever the size of the data."""
+    most = 2 * int(profile.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = profile.where(F.col(ID).isNotNull() & F.col(SIGN).isNotNull())
+    total, largest = keyed.agg(F.sum("seen"), F.max("seen")).first()  # two numbers
+    if not total or largest * most <= total:
+        return None
+    return keyed.where(F.col("seen") * most > total).select(ID, SIGN)
+
+
+def with_bounds(facts: DataFrame, bounds: DataFrame, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """Fact rows with the bounds of their (customer, sign). Rows of hot groups meet theirs where
+    they are scanned, the others in one exchange on the key; which is broadcast instead
+    where the planner knows the bounds to be small."""
+    if hot is None:
+        return facts.join(bounds, [ID, SIGN], how)
+    few = F.broadcast(hot)
+    hot_facts = facts if how == "inner" else facts.join(few, [ID, SIGN], "left_semi")
+    at_scan = hot_facts.join(F.broadcast(bounds.join(few, [ID, SIGN], "left_semi")), [ID, SIGN], how)
+    return at_scan.unionByName(facts.join(few, [ID, SIGN], "left_anti").join(bounds, [ID, SIGN], how))
+
+
+def alert_rows(tx: DataFrame, bounds: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Transactions that reach their own threshold; ``above`` marks those strictly above it.
+    The only join of fact rows: alert counts, outliers and the top-k list are all read from
+    its result.
+
+    A threshold is positive, so rows with a non-positive amount or a NULL key never match and
+    are not moved. ``bounds`` are those of :func:`reached_bounds`, ``hot`` of :func:`hot_groups`.
     """
-    facts = (
-        tx.where((F.col(AMT) > 0) & F.col(ID).isNotNull() & F.col(SIGN).isNotNull())
-        .groupBy(ID, SIGN, AMT, CTRY)
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    facts = tx.where((F.col(AMT) > 0) & F.col(ID).isNotNull() & F.col(SIGN).isNotNull()).select(ID, SIGN, AMT, CTRY)
     return (
-        facts.join(bounds, [ID, SIGN], "inner")
+        with_bounds(facts, bounds, hot)
         .where(F.col(AMT) >= F.col("alert_from"))
-        .select(
-            ID, SIGN, AMT, CTRY, "copies", "threshold_single_transaction",
-            (F.col(AMT) >= F.col("outlier_from")).alias("above"),
-        )
+        .select(ID, SIGN, AMT, CTRY, "threshold_single_transaction", (F.col(AMT) >= F.col("outlier_from")).alias("above"))
     )
 
 
@@ -240,21 +273,21 @@ def unusual_alerts(profile: DataFrame, alerts: DataFrame) -> DataFrame:
     ``alerts`` are the customer's :func:`alert_rows`.
     """
     seen = profile.groupBy(ID).agg(F.sum("seen").alias("total_num_transactions"))
-    hits = alerts.groupBy(ID).agg(F.sum("copies").alias("_hits"))
+    hits = alerts.groupBy(ID).agg(F.count(F.lit(1)).alias("_hits"))
     none = F.lit(0).cast("long")
     return seen.join(hits, ID, "left").select(
         ID, "total_num_transactions", F.coalesce("_hits", none).alias("num_unusual_transactions")
     )
 
 
-def transaction_alerts(tx: DataFrame, profile: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+def transaction_alerts(tx: DataFrame, profile: DataFrame, cfg: RiskConfig = DEFAULT, hot: DataFrame | None = None) -> DataFrame:
     """Every raw transaction with its customer's threshold, alert flag and deviation
     (threshold - amount). Rows without a threshold have flag 0 and a NULL deviation; those
     with a NULL key can have none and stay out of the join."""
-    bounds = sign_bounds(profile, cfg)
+    bounds = sign_bounds(profile, cfg).select(ID, SIGN, "threshold_single_transaction", "alert_from")
     keyed = F.col(ID).isNotNull() & F.col(SIGN).isNotNull()
     rows = tx.select(ID, SIGN, AMT, CTRY)
-    known = rows.where(keyed).join(bounds, [ID, SIGN], "left")
+    known = with_bounds(rows.where(keyed), bounds, hot, "left")
     both = known.unionByName(rows.where(~keyed), allowMissingColumns=True)
     return both.select(
         ID, SIGN, AMT, CTRY, "threshold_single_transaction",

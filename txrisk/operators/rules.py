@@ -13,22 +13,12 @@ from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 OUTLIER_ORDER = ("deviation_amount", ID, SIGN, AMT, CTRY)
 
 
-#: Copies of one transaction written per generated array, so no array grows with the data.
-COPY_BLOCK = 65_536
-
-
 def threshold_breaches(alerts: DataFrame, *more: str) -> DataFrame:
     """Clean rows strictly above their customer's threshold, with threshold and deviation,
-    from the kept :func:`txrisk.operators.features.alert_rows` (each copy a row again)."""
+    from the kept :func:`txrisk.operators.features.alert_rows`."""
     thr = F.col("threshold_single_transaction")
-    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPY_BLOCK}")))
-    left = F.least(F.lit(COPY_BLOCK).cast("long"), F.col("copies") - F.col("_block") * COPY_BLOCK)
-    return (
-        alerts.where("above")
-        .withColumn("_block", block)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
-        .select(ID, SIGN, AMT, CTRY, thr, F.lit(1).alias("transaction_unusual_alert"), (thr - F.col(AMT)).alias("deviation_amount"), *more)
-    )
+    deviation = (thr - F.col(AMT)).alias("deviation_amount")
+    return alerts.where("above").select(ID, SIGN, AMT, CTRY, thr, F.lit(1).alias("transaction_unusual_alert"), deviation, *more)
 
 
 def with_rating(breaches: DataFrame, rating: DataFrame) -> DataFrame:
@@ -39,9 +29,8 @@ def with_rating(breaches: DataFrame, rating: DataFrame) -> DataFrame:
 def outlier_transactions(alerts: DataFrame, rating: DataFrame, order: bool = True) -> DataFrame:
     """Clean rows strictly above their customer's threshold, with the customer's rating.
 
-    Only alert rows meet the rating, and copies are written after that join. Sorted by
-    deviation (most negative first) when ``order``; ties are broken on the row values so
-    the order is total.
+    Only alert rows meet the rating. Sorted by deviation (most negative first) when ``order``;
+    ties are broken on the row values so the order is total.
     """
     out = threshold_breaches(with_rating(alerts.where("above"), rating), "Risk_Segment", "TOTAL_Score")
     return total_order(out, *OUTLIER_ORDER) if order else out
@@ -52,25 +41,15 @@ def top_outliers(outliers: DataFrame, k: int = DEFAULT.top_k) -> DataFrame:
     return outliers.orderBy(*OUTLIER_ORDER).limit(k)
 
 
-def country_credits(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Clean incoming (credit) rows from the high-risk country."""
-    return tx.where((F.col(AMT) > 0) & (F.col(CTRY) == cfg.high_risk_country) & (F.col(SIGN) == cfg.credit))
-
-
-def rows_of_concerned(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Every row of the customers that :func:`country_incoming` lists: a rating depends on the
-    customer's own rows only, so no other customer needs one for Parts III and IV."""
-    return tx.join(country_credits(tx, cfg).select(ID).distinct(), ID, "left_semi")
-
-
-def country_incoming(tx: DataFrame, rating: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Total incoming (credit) amount from the high-risk country per customer, with segment.
+def country_incoming(profile: DataFrame, rating: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Total incoming (credit) amount from the high-risk list per customer, with segment.
 
-    Aggregated before the join: the segment depends on the customer only, so grouping by
-    (customer, segment) after the join gives the same rows, but the join then moves one
-    row per customer instead of every transaction.
+    Read from the profile, which sums those credits, so no fact row is read again. The segment
+    depends on the customer only: grouping by (customer, segment) after the join gives the
+    same rows. The NULL customer is listed, but has no rating.
     """
-    incoming = country_credits(tx, cfg).groupBy(ID).agg(F.sum(AMT).alias("TransactionAmount"))
+    credits = profile.where((F.col(SIGN) == cfg.credit) & (F.col("n_hrc") > 0))
+    incoming = credits.select(F.col(ID), F.col("s_hrc").alias("TransactionAmount"))
     return incoming.join(rating.select(ID, "Risk_Segment"), ID, "left").select(ID, "TransactionAmount", "Risk_Segment")
 
 

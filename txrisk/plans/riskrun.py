@@ -3,16 +3,18 @@
 Physical shape (at any scale):
 
 1. ``profile`` = raw rows grouped by (customer, sign): partial aggregation, then one
-   shuffle of partial rows. It holds the raw row counts and the clean measures.
-2. ``alert_rows`` = positive rows counted per distinct transaction, joined once to the
-   bounds of their (customer, sign): the only join of fact rows. The few that reach
-   their bound are kept; alert counts, outliers and the top-k list read them.
-3. ``rating`` = profile rolled up by customer LEFT JOIN alert rows summed by customer.
-
-Both kept tables are written to the shared folder and read back, because several consumers
-read them: lineage is cut there, so a lost executor costs a re-read, and a consumer reads
-only its columns. Bounds and ratings grow with the customer count, so nothing is broadcast
-on a guess: AQE broadcasts a side where its measured size allows, and splits skewed ones.
+   shuffle of partial rows. It holds the raw row counts, the clean measures and each group's
+   largest amount. It can also be given (a roll-up of a cube, or the merge of stored months).
+2. ``alert_rows`` = positive rows joined once to the bounds of the groups whose largest amount
+   reaches its bound: the only join of fact rows, by one exchange at most. Rows of hot groups
+   meet their bounds where they are scanned.
+3. ``rating`` = profile rolled up by customer LEFT JOIN alert rows counted by customer.
+
+Tables with several consumers are written to the shared folder and read back: lineage is cut
+there, so a lost executor costs a re-read, and a consumer reads only its columns. They lie in
+the run's own folder, which ``close()`` (or leaving a ``with`` block) removes. Bounds and ratings
+grow with the customer count, so nothing is broadcast on a guess: Spark broadcasts a side where
+its known size allows, and AQE splits skewed ones.
 """
 
 from __future__ import annotations
@@ -26,28 +28,52 @@ from txrisk.config import DEFAULT, RiskConfig
 from txrisk.operators import features as feat
 from txrisk.operators import rating as rat
 from txrisk.operators import rules
-from txrisk.session import materialize
+from txrisk.session import Workspace
 from txrisk.sources.ingest import clean
-from txrisk.sources.schema import COLUMNS, ID
+from txrisk.sources.schema import COLUMNS, ID, SIGN
 
 
 class RiskRun:
     """The rating of one raw transaction table, with everything built on it.
 
     Constructing it runs one job: the customer profile is aggregated and kept (skip with
-    ``checkpoint=False`` for tiny inputs such as one customer). The alert rows are kept when
-    they are first asked for. Every attribute is a DataFrame: ``thresholds``, ``features``,
-    ``alert_rows``, ``alerts``, ``wide``, ``points``, ``rating``, ``segment_summary``,
-    ``outliers()``, ``top_outliers()``, ``incoming``, ``segment_thresholds``, ``rule_hits``
-    and the per-row ``transaction_alerts``.
+    ``checkpoint=False`` for tiny inputs such as one customer), unless ``profile`` is given. The
+    alert rows are kept when they are first asked for. Every attribute is a DataFrame:
+    ``thresholds``, ``features``, ``alert_rows``, ``alerts``, ``wide``, ``points``, ``rating``,
+    ``segment_summary``, ``outliers()``, ``top_outliers()``, ``incoming``,
+    ``segment_thresholds``, ``segment_limits``, ``rule_hits``, ``segment_outliers()`` and the
+    per-row ``transaction_alerts``.
     """
 
-    def __init__(self, raw: DataFrame, cfg: RiskConfig = DEFAULT, checkpoint: bool = True):
+    def __init__(self, raw: DataFrame, cfg: RiskConfig = DEFAULT, checkpoint: bool = True, profile: DataFrame | None = None):
         self.cfg = cfg
         self.raw = raw.select(*COLUMNS)
         self.clean = clean(self.raw)
-        self._keep = materialize if checkpoint else lambda df: df
-        self.profile = self._keep(feat.customer_profile(self.raw, cfg))
+        self._folder: Workspace | None = Workspace(raw.sparkSession, "run") if checkpoint else None
+        self.profile = profile if profile is not None else self._keep(feat.customer_profile(self.raw, cfg))
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return self._folder.keep(df) if self._folder else df
+
+    def close(self) -> None:
+        """Remove the run's kept tables; results not written by then cannot be read any more."""
+        if self._folder:
+            self._folder.drop()
+
+    def __enter__(self) -> RiskRun:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    @cached_property
+    def hot(self) -> DataFrame | None:
+        """The groups that would overfill a shuffle partition (None without kept tables)."""
+        return feat.hot_groups(self.profile) if self._folder else None
+
+    @cached_property
+    def _alert_rows(self) -> DataFrame:
+        return feat.alert_rows(self.raw, feat.reached_bounds(self.profile, self.cfg), self.hot)
 
     @cached_property
     def thresholds(self) -> DataFrame:
@@ -59,15 +85,17 @@ class RiskRun:
 
     @cached_property
     def alert_rows(self) -> DataFrame:
-        return self._keep(feat.alert_rows(self.raw, feat.sign_bounds(self.profile, self.cfg)))
+        return self._keep(self._alert_rows)
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return feat.unusual_alerts(self.profile, self.alert_rows)
+        """Alert counts; from the kept alert rows where another result has asked for those."""
+        rows = self.__dict__.get("alert_rows", self._alert_rows)
+        return feat.unusual_alerts(self.profile, rows)
 
     @cached_property
     def transaction_alerts(self) -> DataFrame:
-        return feat.transaction_alerts(self.raw, self.profile, self.cfg)
+        return feat.transaction_alerts(self.raw, self.profile, self.cfg, self.hot)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -86,6 +114,7 @@ class RiskRun:
         return rat.segment_summary(self.rating)
 
     def outliers(self, order: bool = True) -> DataFrame:
+        """Rows above their customer's threshold, with its rating."""
         return rules.outlier_transactions(self.alert_rows, self.rating, order=order)
 
     def top_outliers(self, k: int | None = None) -> DataFrame:
@@ -105,7 +134,7 @@ class RiskRun:
 
     @cached_property
     def incoming(self) -> DataFrame:
-        return rules.country_incoming(self.clean, self.rating, self.cfg)
+        return rules.country_incoming(self.profile, self.rating, self.cfg)
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Temporary views of the transactions, the clean view and every result, for
@@ -138,12 +167,17 @@ class RiskRun:
 
 
 def country_rule_run(raw: DataFrame, cfg: RiskConfig = DEFAULT) -> RiskRun:
-    """A run for Parts III and IV alone (``incoming``, ``segment_thresholds``, ``rule_hits``):
-    it profiles and rates only the customers with a credit from the high-risk country.
-    Credits themselves are read from all rows, as those of the NULL customer, which no join
-    finds and no rating has, are listed too."""
-    run = RiskRun(rules.rows_of_concerned(raw.select(*COLUMNS), cfg), cfg)
-    run.incoming = rules.country_incoming(raw, run.rating, cfg)
+    """A run for Parts III and IV alone (``incoming``, ``segment_thresholds``, ``rule_hits``).
+
+    The profile of all customers tells who has a credit from the high-risk list; a rating
+    depends on the customer's own rows only, so just their groups go on to bounds and alerts.
+    """
+    run = RiskRun(raw, cfg)
+    whole = run.profile
+    concerned = whole.where((F.col(SIGN) == cfg.credit) & (F.col("n_hrc") > 0)).select(ID).distinct()
+    run.profile = run._keep(whole.join(concerned, ID, "left_semi"))
+    run.hot = feat.hot_groups(whole)
+    run.incoming = rules.country_incoming(whole, run.rating, cfg)  # the NULL customer, which no join finds, is listed too
     return run
 
 

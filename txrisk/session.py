@@ -73,17 +73,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as parquet below the checkpoint folder and read it back.
+class Workspace:
+    """A folder of its own below the checkpoint folder for the kept tables of one run."""
 
-    Used for intermediates with several consumers (the customer profile, the alert rows): a
-    lost executor then costs a re-read, not a re-scan of the fact table, and each consumer
-    reads only its columns. Files stay until the folder is cleaned, as checkpoints do
-    across sessions.
-    """
-    folder = ensure_checkpoint_dir(df.sparkSession)
-    if folder is None:
-        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for kept tables")
-    path = f"{folder.rstrip('/')}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession, tag: str):
+        folder = ensure_checkpoint_dir(spark)
+        if folder is None:
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for kept tables")
+        self.spark, self.path = spark, f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as parquet and read it back.
+
+        Used for intermediates with several consumers (the customer profile, the alert rows): a
+        lost executor then costs a re-read, not a re-scan of the fact table, and each consumer
+        reads only its columns.
+        """
+        self.tables += 1
+        path = f"{self.path}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete the folder, wherever the checkpoint folder is (by its own file system)."""
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Keep one table outside any run; its files stay until the checkpoint folder is cleaned."""
+    return Workspace(df.sparkSession, "kept").keep(df)
