@@ -37,8 +37,19 @@ def test_scans_read_only_needed_columns(tx_parquet):
     assert "ReadSchema: struct<CustomerID:int,TransactionSign:string,TransactionAmount:int>" in plan
 
 
-def test_in_subquery_is_a_semi_join(tx_parquet):
-    assert "LeftSemi" in _plan(ex.customers_with_country(tx_parquet, ["RO"]))
+def test_in_subquery_filters_the_facts_at_the_scan(tx_parquet):
+    plan = _plan(ex.customers_with_country(tx_parquet, ["RO"], order=False))
+    assert "BroadcastHashJoin" in plan and "getbit" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_sorted_results_carry_no_row_id(tx_parquet):
+    for df in (ex.customers_with_country(tx_parquet, ["RO"]), q.customer_history(tx_parquet, 0), RiskRun(tx_parquet).outliers()):
+        plan = _plan(df)
+        assert "rangepartitioning" in plan and "monotonically_increasing_id" not in plan
+
+
+def test_skew_and_median_read_one_kept_histogram(tx_parquet):
+    assert not _reads_facts(q.amount_skew(tx_parquet), tx_parquet)
 
 
 def _reads_facts(df, tx) -> bool:
@@ -47,7 +58,7 @@ def _reads_facts(df, tx) -> bool:
 
 def test_alert_rows_join_the_facts_once_and_inner(tx_parquet):
     run = RiskRun(tx_parquet)
-    alerts = feat.alert_rows(tx_parquet, feat.sign_bounds(run.profile))
+    alerts = feat.alert_rows(tx_parquet, feat.reached_bounds(run.profile))
     plan = _plan(alerts)
     assert "Inner" in plan and "LeftOuter" not in plan
     assert _reads_facts(alerts, tx_parquet) and plan.count("FileScan parquet") == 2  # facts and profile
@@ -55,6 +66,7 @@ def test_alert_rows_join_the_facts_once_and_inner(tx_parquet):
 
 def test_rating_outliers_and_top_list_read_kept_tables_only(tx_parquet):
     run = RiskRun(tx_parquet)
+    assert run.alert_rows is not None  # kept from here on
     for df in (run.rating, run.outliers(order=False), run.top_outliers(), run.alerts):
         plan = _plan(df)
         assert not _reads_facts(df, tx_parquet) and "FileScan parquet" in plan
@@ -66,12 +78,25 @@ def test_kept_profile_is_pruned(tx_parquet):
     assert "ReadSchema: struct<CustomerID:int,TransactionSign:string,n_rows:bigint,s_amt:bigint,q_amt:decimal(30,0)>" in plan
 
 
-def test_country_rule_profiles_only_the_customers_concerned(tx_parquet):
+def test_country_rule_rates_only_the_customers_concerned(tx_parquet):
     run = country_rule_run(tx_parquet)
-    plan = _plan(feat.customer_profile(run.raw))
-    assert "LeftSemi" in plan and plan.index("HashAggregate") < plan.index("LeftSemi")  # below the aggregate
     concerned = {r[0] for r in run.incoming.select("CustomerID").collect()}
     assert {r[0] for r in run.profile.select("CustomerID").collect()} == concerned == {9, 10}
+    plan = _plan(run.incoming)
+    facts = [line for line in plan.splitlines() if "FileScan" in line and "GreaterThan(TransactionAmount,0)" in line]
+    assert len(facts) == (1 if run.hot is None else 2)  # the alert pass alone, split where a group is hot
+
+
+def test_the_report_reads_the_facts_once_for_its_roll_ups(tx_parquet):
+    from txrisk.operators.cube import cube_results, profile_of, transaction_cube
+    from txrisk.session import materialize
+
+    cube = transaction_cube(tx_parquet)
+    assert _plan(cube).count("FileScan parquet") == 1
+    kept = materialize(cube)
+    run = RiskRun(tx_parquet, profile=materialize(profile_of(kept)))
+    for df in (*cube_results(kept).values(), run.thresholds, run.features):
+        assert not _reads_facts(df, tx_parquet)
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

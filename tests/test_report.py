@@ -2,6 +2,7 @@
 
 import tempfile
 
+import pytest
 from micro import micro_df
 
 from txrisk.plans.report import run_report
@@ -20,28 +21,31 @@ def test_report_writes_every_result(spark):
     assert spark.read.parquet(paths["outlier_transactions"]).count() == RiskRun(tx).outliers().count()
 
 
-def test_shared_summaries_equal_the_standalone_checks(spark):
+@pytest.mark.parametrize("seed", [5, 6])
+def test_roll_ups_of_the_cube_equal_the_standalone_results(spark, seed):
     from test_random_oracle import random_rows
 
+    from txrisk.operators import cube as cb
     from txrisk.operators import explore, quality
-    from txrisk.plans.report import country_checks, country_summary, sign_checks, sign_summary
+    from txrisk.operators import features as feat
+    from txrisk.sources.ingest import clean
     from txrisk.sources.schema import TRANSACTION_SCHEMA
 
-    tx = spark.createDataFrame(random_rows(5), TRANSACTION_SCHEMA)
-    direct = {
-        "import_completeness": quality.import_completeness(tx),
-        "amount_range_by_sign": quality.amount_range_by_sign(tx),
-        "nonpositive_profile": quality.nonpositive_profile(tx),
-        "zero_amounts": quality.zero_amounts(tx),
-        "country_distribution_clean": quality.country_distribution(tx.where("TransactionAmount > 0")),
-        "country_distribution_raw": explore.country_distribution_raw(tx),
-    }
-    shared = {**sign_checks(sign_summary(tx)), **country_checks(country_summary(tx))}
-    for name, want in direct.items():
-        got = shared[name]
-        shape = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
+    tx = spark.createDataFrame(random_rows(seed), TRANSACTION_SCHEMA).cache()
+    thirds = [cb.transaction_cube(tx.where(c)) for c in ("TransactionAmount % 3 = 0", "not TransactionAmount % 3 = 0", "TransactionAmount is null")]
+    cube = cb.merge_cubes(*thirds).cache()
+    direct = {**quality.check_all(tx, clean(tx)), **explore.explore_all(tx)}
+    results = cb.cube_results(cube)
+    assert len(results) == 15
+    shape = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
+    for name, got in results.items():
+        want = direct[name]
         assert shape(got) == shape(want), name
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
+    got, want = cb.profile_of(cube), feat.customer_profile(tx)
+    assert shape(got) == shape(want)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert cb.import_completeness(cube.limit(0)).collect() == quality.import_completeness(tx.limit(0)).collect()
 
 
 def test_cli_ingests_once_and_writes_every_result(spark, capsys):

@@ -1,5 +1,5 @@
 """A customer holding a third of all rows (half of them exact copies), and hot keys that can
-never alert: no task may meet a third of the rows, whatever AQE does."""
+never alert: no task may meet a third of the rows by their key, whatever AQE does."""
 
 import random
 
@@ -76,32 +76,67 @@ def test_hot_keys_give_right_alerts_and_even_tasks(spark, plain_joins, kind, tmp
     assert {r[0]: (r[1], r[2]) for r in run.alerts.collect()} == _expected_alerts(rows)
     # every fact row that could alert, as the join meets it: before the bound is applied
     everything = feat.sign_bounds(run.profile).withColumn("alert_from", F.lit(0).cast("long"))
-    sizes = feat.alert_rows(tx, everything).groupBy(F.spark_partition_id()).count().collect()
-    hot_distinct = len({r for r in rows if r[0] == 1 and r[1] and r[2] > 0})
-    assert max(r[1] for r in sizes) < 2200 + hot_distinct  # 20000 other rows over 16 tasks
-    if kind != "half copies":
-        assert hot_distinct <= 1
+    met = feat.alert_rows(tx, everything, run.hot).select("CustomerID", F.spark_partition_id().alias("task"))
+    cold = met.where("CustomerID <> 1").groupBy("task").count().collect()
+    assert max(r[1] for r in cold) < 2200  # 20000 other rows over 16 tasks
+    hot = met.where("CustomerID = 1").groupBy("task").count().collect()
+    if kind in ("half copies", "all copies"):  # met where they are scanned: no task has more than a file's
+        assert sum(r[1] for r in hot) == 10000 and max(r[1] for r in hot) <= 10000 / tx.rdd.getNumPartitions() + 200
+    else:
+        assert run.hot is None or not hot
 
 
 def test_one_exchange_of_facts_on_customer_and_sign(spark, plain_joins, tmp_path):
     spark.createDataFrame(_rows(HOT["half copies"], 3000), TRANSACTION_SCHEMA).write.parquet(str(tmp_path / "tx"))
     tx = spark.read.parquet(str(tmp_path / "tx"))
-    profile = RiskRun(tx).profile
-    plan = feat.alert_rows(tx, feat.sign_bounds(profile))._jdf.queryExecution().executedPlan().toString()
+    run = RiskRun(tx)
+    plan = feat.alert_rows(tx, feat.reached_bounds(run.profile))._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     facts = [line for line in scans if "GreaterThan(TransactionAmount,0)" in line]
     assert len(scans) == 2 and len(facts) == 1  # the facts and the kept profile
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 3  # facts by transaction (pre-counted), facts and bounds by key
+    assert len(exchanges) == 2  # facts and bounds by key
+    # rows of a hot group meet their bounds without any exchange
+    assert run.hot.count() == 1
+    plan = feat.alert_rows(tx, feat.reached_bounds(run.profile), run.hot)._jdf.queryExecution().executedPlan().toString()
+    branch = plan[plan.index("Union") : plan.index("SortMergeJoin")]
+    assert "BroadcastHashJoin" in branch and plan.count("Exchange hashpartitioning") == 2
+
 
+def test_only_groups_that_can_alert_meet_the_facts(spark):
+    rows = [(1, "Credit", 10, "FI")] * 4 + [(1, "Credit", 60, "FI")] + [(2, "Debit", x, "FI") for x in (10, 11, 12)] + [(3, "Credit", -5, "FI")]
+    run = RiskRun(spark.createDataFrame(rows, TRANSACTION_SCHEMA))
+    assert [tuple(r) for r in feat.reached_bounds(run.profile).select("CustomerID", "alert_from").collect()] == [(1, 60)]
+    assert feat.sign_bounds(run.profile).count() == 2
 
-def test_outliers_write_every_copy(spark, monkeypatch):
-    from txrisk.operators import rules
 
-    monkeypatch.setattr(rules, "COPY_BLOCK", 3)
-    rows = [(1, "Credit", 1, "FI")] * 100 + [(1, "Credit", 90, "FI")] * 4
+def test_copies_are_written_in_order(spark, monkeypatch):
+    from txrisk.functions import ordering
+
+    monkeypatch.setattr(ordering, "COPY_BLOCK", 3)
+    rows = [(1, "Credit", 1, "FI")] * 100 + [(1, "Credit", 90, "FI")] * 4 + [(1, "Credit", 80, "FI")]
     out = RiskRun(spark.createDataFrame(rows, TRANSACTION_SCHEMA)).outliers().collect()
-    assert [r["TransactionAmount"] for r in out] == [90] * 4
+    assert [r["TransactionAmount"] for r in out] == [90] * 4 + [80]
+
+
+@pytest.mark.parametrize("hot", ["half copies", "all copies"])
+def test_rows_of_listed_customers_stay_where_they_are_scanned(spark, plain_joins, hot, tmp_path, monkeypatch):
+    from txrisk.operators import explore
+
+    rows = _rows(HOT[hot], 6000) + [(1, "Debit", 5, "RO"), (-70, "Debit", 5, "RO"), (0, "Debit", 5, "RO"), (None, "Debit", 5, "RO")]
+    spark.createDataFrame(rows, TRANSACTION_SCHEMA).repartition(8).write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.parquet(str(tmp_path / "tx"))
+    ids = {r[0] for r in rows if r[3] == "RO" and r[0] is not None}
+    want = sorted((r for r in rows if r[0] in ids), key=repr)
+    found = explore.customers_with_country(tx, ["RO"], order=False)
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=repr) == want
+    ordered = [tuple(r) for r in explore.customers_with_country(tx, ["RO"]).collect()]
+    assert sorted(ordered, key=repr) == want and [r[0] for r in ordered] == sorted(r[0] for r in ordered)
+    monkeypatch.setattr(explore, "MAX_WORDS", 0)  # too many ids for a broadcast
+    joined = explore.customers_with_country(tx, ["RO"], order=False)
+    assert "LeftSemi" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, joined.collect()), key=repr) == want
 
 
 def test_top_outliers_of_none(spark):

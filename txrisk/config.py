@@ -101,6 +101,11 @@ class RiskConfig:
     max_country_length: int = 2
     # Percentiles reported per segment by the threshold recommendation.
     segment_percentiles: tuple[float, ...] = (0.5, 0.9, 0.95)
+    # Limit proposed per segment: at most this share of its customers, or this many, may lie above.
+    limit_share: float = 0.05
+    limit_hits: int | None = None
+    # Outliers of a segment: above its mean + this many population stdevs.
+    segment_sigma: int = 2
     # Options that are off by default (the rules as published do not use them).
     min_group_size: int = 1  # groups smaller than this never alert
     normalize_strings: bool = False  # upper(trim()) country, initcap(trim()) sign at load

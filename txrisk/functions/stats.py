@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,15 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], take: li
     return lf.join(rt, cond, "inner").select("_l.*", *[F.col(f"_r.{c}") for c in take])
 
 
-def kth_values(df: DataFrame, groups: Sequence[str], value: str, targets: dict[str, str]) -> DataFrame:
-    """For each group, the value at each 1-based rank of ``targets``.
+def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """(groups, ``_v``, ``_c``): the histogram that the order statistics read."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("long").alias("_v"))
+    return counted.agg(F.count(F.lit(1)).alias("_c"))
+
+
+def kth_values(df: DataFrame, groups: Sequence[str], value: str, targets: dict[str, str], hist: DataFrame | None = None) -> DataFrame:
+    """For each group, the value at each 1-based rank of ``targets``; ``hist`` is the kept
+    :func:`value_counts` where there is one (``df`` then gives the value's type only).
 
     ``targets`` maps an output name to a SQL expression of ``n`` (the group's count of
     non-null values), e.g. ``{"lo": "(n + 1) div 2"}``. Returns the group columns,
@@ -48,11 +55,7 @@ def kth_values(df: DataFrame, groups: Sequence[str], value: str, targets: dict[s
     groups = list(groups)
     shifts = _shifts(df.schema[value].dataType)
     keys = [f"_k{i}" for i in range(len(shifts))]
-    hist = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).cast("long").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
+    hist = value_counts(df, groups, value) if hist is None else hist
     hist = hist.withColumns({k: F.shiftright("_v", s) if s else F.col("_v") for k, s in zip(keys, shifts)})
     rank_structs = F.array(*[F.struct(F.lit(name).alias(_TARGET), F.expr(e).cast("long").alias(_RANK)) for name, e in targets.items()])
 
@@ -83,9 +86,9 @@ def kth_values(df: DataFrame, groups: Sequence[str], value: str, targets: dict[s
     )
 
 
-def exact_median(df: DataFrame, groups: Sequence[str], value: str, name: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, groups: Sequence[str], value: str, name: str = "median", hist: DataFrame | None = None) -> DataFrame:
     """Median as the mean of the two middle values (the middle one when the count is odd)."""
-    res = kth_values(df, groups, value, {"_lo": "(n + 1) div 2", "_hi": "n div 2 + 1"})
+    res = kth_values(df, groups, value, {"_lo": "(n + 1) div 2", "_hi": "n div 2 + 1"}, hist)
     return res.select(*groups, "n", ((F.col("_lo") + F.col("_hi")) / F.lit(2.0)).alias(name))
 
 
@@ -105,3 +108,42 @@ def nearest_rank_percentiles(df: DataFrame, groups: Sequence[str], value: str, p
         basis = int(round(p * 10000))
         targets[percentile_name(p)] = f"greatest(1, (n * {basis} + 9999) div 10000)"
     return kth_values(df, groups, value, targets).drop("n")
+
+
+def exact_moments(hist: DataFrame) -> DataFrame:
+    """One row of exact sums over a histogram (``_v``, ``_c``), from which mean and skewness follow.
+
+    Sums of the values and their powers are whole numbers (decimals), so the result does not
+    depend on how rows were split. ``n``, ``s1``, ``s2``, ``s3``.
+    """
+    v = F.col("_v").cast("decimal(19,0)")
+    c = F.col("_c").cast("decimal(19,0)")
+
+    def power_sum(x: Column) -> Column:
+        return F.sum(x.cast("decimal(38,0)"))
+
+    return hist.agg(F.sum("_c").alias("n"), power_sum(v * c).alias("s1"), power_sum(v * v * c).alias("s2"), power_sum(v * v * v * c).alias("s3"))
+
+
+def consecutive_values(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """(groups, ``low``, ``high``): every two neighbouring distinct values of each group.
+
+    Values are split by their high digits, level by level: neighbours within a bucket come from a
+    window over that bucket, neighbours across buckets from the buckets' least and largest
+    values one level up. A window sees at most 2**22 rows, whatever the group's size.
+    """
+    groups = list(groups)
+    level = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("long").alias("low"))
+    level = level.agg(F.first(F.col(value).cast("long")).alias("high"))
+    pairs = None
+    for shift in [*(s for s in reversed(_shifts(df.schema[value].dataType)) if s), None]:
+        keys = groups if shift is None else [*groups, "_bucket"]
+        spread = level if shift is None else level.withColumn("_bucket", F.shiftright("low", shift))
+        # a row is a bucket's least and largest value; the gap to the row before lies between them
+        before = F.lag("high").over(Window.partitionBy(*keys).orderBy("low"))
+        here = spread.withColumn("_before", before).where(F.col("_before").isNotNull())
+        here = here.select(*groups, F.col("_before").alias("low"), F.col("low").alias("high"))
+        pairs = here if pairs is None else pairs.unionByName(here)
+        if shift is not None:
+            level = spread.groupBy(*keys).agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("_bucket")
+    return pairs

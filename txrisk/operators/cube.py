@@ -66,11 +66,6 @@ def merge_cubes(first: DataFrame, *others: DataFrame) -> DataFrame:
     return both.groupBy(*KEYS).agg(*[merged(f.name).cast(f.dataType).alias(f.name) for f in first.schema if f.name not in KEYS])
 
 
-def high_risk_table(cube: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """The configured high-risk list as a table (one column ``CountryName``)."""
-    return cube.sparkSession.createDataFrame([(c,) for c in cfg.high_risk_countries], "CountryName string")
-
-
 def profile_of(cube: DataFrame, cfg: RiskConfig = DEFAULT, high_risk: DataFrame | None = None) -> DataFrame:
     """The (customer, sign) profile of :func:`txrisk.operators.features.customer_profile`.
 

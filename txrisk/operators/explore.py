@@ -11,6 +11,7 @@ from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
 from txrisk.functions.scoring import band
 from txrisk.operators.quality import country_distribution
+from txrisk.session import materialize
 from txrisk.sources.schema import AMT, COLUMNS, CTRY, ID, SIGN
 
 
@@ -33,18 +34,42 @@ def country_rows(tx: DataFrame, countries: Sequence[str]) -> DataFrame:
     return tx.where(F.col(CTRY).isin(list(countries))).select(*COLUMNS)
 
 
-def customers_with_country(tx: DataFrame, countries: Sequence[str], order: bool = True) -> DataFrame:
-    """Every row of the customers with at least one row in ``countries`` (E5, E6).
+#: 64-bit words of an id bitmap that are broadcast at most (about 40 bytes each, so 80 MB; up to
+#: 134 million ids where ids are dense).
+MAX_WORDS = 1 << 21
 
-    ``IN (sub-query)`` as a left semi join: the probe side is never duplicated. The
-    customer list is deduplicated first (partial aggregation, so a hot customer's rows
-    collapse map-side), and AQE broadcasts it only when its measured size is small.
-    AQE splits a hot customer's partition of the probe side.
+
+def id_bitmap(ids: DataFrame) -> DataFrame:
+    """Exact set of customer ids as a bitmap: one row a word of 64 ids that has any of them."""
+    word = F.shiftright(F.col(ID).cast("long"), 6).alias("_word")
+    bit = F.expr(f"shiftleft(1L, cast({ID} & 63 as int))")
+    return ids.where(F.col(ID).isNotNull()).groupBy(word).agg(F.bit_or(bit).alias("_bits"))
+
+
+def rows_of(tx: DataFrame, ids: DataFrame) -> DataFrame:
+    """Every row of the customers in ``ids`` (repeats and NULLs allowed).
+
+    The ids become a kept bitmap, whose size is known before it is used: up to ``MAX_WORDS`` words
+    are broadcast and the facts are filtered where they are scanned, so no fact row of another
+    customer moves and a hot customer's rows stay in their tasks. A larger set is a left semi
+    join, whose hot keys AQE splits.
     """
-    seen = tx.where(F.col(CTRY).isin(list(countries))).select(ID).distinct()
     facts = tx.select(*COLUMNS)
-    out = facts.join(seen, ID, "left_semi")
-    return total_order(out, ID) if order else out
+    words = materialize(id_bitmap(ids))
+    if words.count() > MAX_WORDS:
+        return facts.join(ids.select(ID).distinct(), ID, "left_semi")
+    inside = F.expr(f"getbit(_bits, cast({ID} & 63 as int)) = 1")
+    held = facts.join(F.broadcast(words), F.shiftright(F.col(ID).cast("long"), 6) == F.col("_word"))
+    return held.where(inside).select(*COLUMNS)
+
+
+def customers_with_country(tx: DataFrame, countries: Sequence[str], order: bool = True, cube: DataFrame | None = None) -> DataFrame:
+    """Every row of the customers with at least one row in ``countries`` (E5, E6): ``IN
+    (sub-query)`` as a bitmap of the ids, read from the ``cube`` where there is one. Only the
+    result rows are exchanged for the report order."""
+    ids = (tx if cube is None else cube).where(F.col(CTRY).isin(list(countries))).select(ID)
+    out = rows_of(tx, ids)
+    return total_order(out, ID, copies=True) if order else out
 
 
 def customer_sign_profile(tx: DataFrame) -> DataFrame:
@@ -88,14 +113,16 @@ def frequency_histogram(tx: DataFrame, cfg: RiskConfig = DEFAULT, order: bool =
     return out.orderBy("FrequencyCluster") if order else out
 
 
-def explore_all(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> dict[str, DataFrame]:
+def explore_all(tx: DataFrame, cfg: RiskConfig = DEFAULT, cube: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every exploration result, lazily, keyed by name; those that list rows read the ids of
+    the ``cube`` where there is one."""
     return {
         "high_risk_countries": high_risk_countries(tx, cfg),
         "country_distribution_raw": country_distribution_raw(tx),
         "outlier_country_transactions": country_rows(tx, cfg.outlier_countries),
         "country_transactions": country_rows(tx, [cfg.high_risk_country]),
-        "customers_with_country": customers_with_country(tx, [cfg.high_risk_country]),
-        "customers_with_outliers": customers_with_country(tx, cfg.outlier_countries),
+        "customers_with_country": customers_with_country(tx, [cfg.high_risk_country], cube=cube),
+        "customers_with_outliers": customers_with_country(tx, cfg.outlier_countries, cube=cube),
         "customer_sign_profile": customer_sign_profile(tx),
         "customer_country_profile": customer_country_profile(tx),
         "round_amounts": round_amounts(tx, cfg.round_unit),

@@ -1,10 +1,10 @@
 """The whole monthly run as one batch job: checks, exploration, rating, outliers, rule.
 
 Every result is written by the cluster under ``out/<name>``; nothing is collected.
-Checks that are roll-ups of one per-sign or per-country summary share its pass. The
-expensive part of the rating (features plus the alert pass) is written once as
-``risk_features_wide`` and read back; points, rating and every report built on the
-rating then read tables instead of recomputing the alert pass.
+The facts are summed up once, by customer, sign and country (``transaction_cube``); 15 checks
+and exploration results, the customer profile with all features, and the high-risk country's
+incoming amounts are roll-ups of that kept table. The facts are read again only where rows
+are returned or met: the alert pass, row listings, and the two checks by amount.
 
     python -m txrisk.plans.report /data/transactions.txt /data/out
 
@@ -17,87 +17,19 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
-from txrisk.functions.ordering import total_order
 from txrisk.operators import explore, quality, rules
 from txrisk.operators import rating as rat
+from txrisk.operators.cube import cube_results, profile_of, transaction_cube
 from txrisk.plans.riskrun import RiskRun
-from txrisk.session import materialize
+from txrisk.session import Workspace
 from txrisk.sources.ingest import clean, ingest_transactions, read_ingested
-from txrisk.sources.schema import AMT, CTRY, SIGN
 from txrisk.sources.sinks import write_result
 
 
-def sign_summary(tx: DataFrame) -> DataFrame:
-    """One pass per sign holding the inputs of four checks (Q1, Q5, Q6, Q10)."""
-    amt = F.col(AMT)
-    nonpos, zero = amt <= 0, amt == 0
-    return tx.groupBy(SIGN).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.abs(amt)).alias("abs_amount"),
-        F.min(amt).alias("min_amount"),
-        F.max(amt).alias("max_amount"),
-        F.count(F.when(nonpos, 1)).alias("nonpos_rows"),
-        F.min(F.when(nonpos, amt)).alias("nonpos_min"),
-        F.max(F.when(nonpos, amt)).alias("nonpos_max"),
-        F.sum(F.when(nonpos, F.abs(amt))).alias("nonpos_abs"),
-        F.count(F.when(nonpos, F.col(SIGN))).alias("nonpos_signs"),
-        F.count(F.when(zero, 1)).alias("zero_rows"),
-        F.count(F.when(zero, F.col(SIGN))).alias("zero_signs"),
-    )
-
-
-def sign_checks(summary: DataFrame) -> dict[str, DataFrame]:
-    """Q1, Q5, Q6 and Q10 as roll-ups of :func:`sign_summary` (a handful of rows)."""
-    return {
-        "import_completeness": summary.agg(
-            F.sum("rows").alias("total_records"), F.sum("abs_amount").alias("total_abs_amount")
-        ),
-        "amount_range_by_sign": summary.select(
-            SIGN, F.col("min_amount").alias("min_transaction_amount"), F.col("max_amount").alias("max_transaction_amount")
-        ),
-        "nonpositive_profile": summary.where(F.col("nonpos_rows") > 0).select(
-            SIGN,
-            F.col("nonpos_min").alias("min_transaction_amount"),
-            F.col("nonpos_max").alias("max_transaction_amount"),
-            F.col("nonpos_abs").alias("total_abs_amount"),
-            F.col("nonpos_signs").alias("num_transactions"),
-        ),
-        "zero_amounts": summary.where(F.col("zero_rows") > 0).select(
-            SIGN, F.col("zero_signs").alias("num_transactions")
-        ),
-    }
-
-
-def country_summary(tx: DataFrame) -> DataFrame:
-    """One pass per country holding the inputs of Q12 (clean) and E2 (raw)."""
-    positive = F.col(AMT) > 0
-    return tx.groupBy(CTRY).agg(
-        F.count(F.col(CTRY)).alias("raw_n"),
-        F.count(F.when(positive, F.col(CTRY))).alias("clean_n"),
-        F.count(F.when(positive, 1)).alias("clean_rows"),
-    )
-
-
-def country_checks(summary: DataFrame) -> dict[str, DataFrame]:
-    """Q12 and E2 as roll-ups of :func:`country_summary`."""
-    return {
-        "country_distribution_clean": summary.where(F.col("clean_rows") > 0).select(
-            CTRY, F.col("clean_n").alias("num_transactions")
-        ),
-        "country_distribution_raw": total_order(
-            summary.select(CTRY, F.col("raw_n").alias("num_transactions")), "num_transactions", desc=["num_transactions"]
-        ),
-    }
-
-
 def run_report(spark: SparkSession, tx: DataFrame, out: str, cfg: RiskConfig = DEFAULT, fmt: str = "parquet") -> dict[str, str]:
-    """Write every result for the transactions ``tx``; returns name -> path.
-
-    Checks that are roll-ups of one summary (per sign, per country) share its pass.
-    """
+    """Write every result for the transactions ``tx``; returns name -> path."""
     paths: dict[str, str] = {}
 
     def save(name: str, df: DataFrame) -> None:
@@ -109,29 +41,32 @@ def run_report(spark: SparkSession, tx: DataFrame, out: str, cfg: RiskConfig = D
         """Save a result that others are built on. They read it back from parquet: the saved
         result itself, or a kept copy where results are written as text."""
         if fmt != "parquet":
-            df = materialize(df)
+            df = folder.keep(df)
         save(name, df)
-        return spark.read.parquet(paths[name]) if fmt == "parquet" else df
+        return spark.read.schema(df.schema).parquet(paths[name]) if fmt == "parquet" else df
 
+    folder = Workspace(spark, "report")
     cleaned = clean(tx)
-    shared = {
-        **sign_checks(keep("sign_summary", sign_summary(tx))),
-        **country_checks(keep("country_summary", country_summary(tx))),
-    }
-    for name, df in {**quality.check_all(tx, cleaned, cfg), **explore.explore_all(tx, cfg)}.items():
+    cube = keep("transaction_cube", transaction_cube(tx, cfg))
+    shared = cube_results(cube, cfg)
+    for name, df in {**quality.check_all(tx, cleaned, cfg), **explore.explore_all(tx, cfg, cube)}.items():
         save(name, shared.get(name, df))
 
-    run = RiskRun(tx, cfg)
-    save("sign_thresholds", run.thresholds)
-    save("unusual_alerts", run.alerts)
-    wide = keep("risk_features_wide", run.wide)
-    rating = keep("risk_rating", rat.risk_rating(rat.risk_points(wide, cfg), cfg))
-    save("segment_summary", rat.segment_summary(rating))
-    save("outlier_transactions", rules.outlier_transactions(run.alert_rows, rating))
-    save("top_outlier_transactions", run.top_outliers())
-    incoming = keep("romania_incoming", rules.country_incoming(run.clean, rating, cfg))
-    save("segment_thresholds", rules.segment_thresholds(incoming, cfg))
-    save("romania_rule_hits", rules.rule_hits(incoming, cfg))
+    with RiskRun(tx, cfg, profile=folder.keep(profile_of(cube, cfg))) as run:
+        save("sign_thresholds", run.thresholds)
+        alerts = run.alert_rows  # kept: read for the counts, the outliers and the top list
+        save("unusual_alerts", run.alerts)
+        wide = keep("risk_features_wide", run.wide)
+        rating = keep("risk_rating", rat.risk_rating(rat.risk_points(wide, cfg), cfg))
+        save("segment_summary", rat.segment_summary(rating))
+        save("outlier_transactions", rules.outlier_transactions(alerts, rating))
+        save("top_outlier_transactions", run.top_outliers())
+        save("segment_outliers", rules.segment_outliers(run.raw, run.profile, rating, cfg, run.hot))
+        incoming = keep("romania_incoming", rules.country_incoming(run.profile, rating, cfg))
+        save("segment_thresholds", rules.segment_thresholds(incoming, cfg))
+        save("segment_limits", rules.segment_limits(incoming, cfg))
+        save("romania_rule_hits", rules.rule_hits(incoming, cfg))
+    folder.drop()
     return paths
 
 

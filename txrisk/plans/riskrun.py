@@ -161,6 +161,15 @@ class RiskRun:
     def segment_thresholds(self) -> DataFrame:
         return rules.segment_thresholds(self.incoming, self.cfg)
 
+    @cached_property
+    def segment_limits(self) -> DataFrame:
+        return rules.segment_limits(self.incoming, self.cfg)
+
+    def segment_outliers(self, order: bool = True) -> DataFrame:
+        """Rows above mean + 2 sigma of their customer's segment."""
+        rating = self._keep(self.rating.select(ID, "Risk_Segment", "TOTAL_Score"))  # read for bounds and rows
+        return rules.segment_outliers(self.raw, self.profile, rating, self.cfg, self.hot, order)
+
     @cached_property
     def rule_hits(self) -> DataFrame:
         return rules.rule_hits(self.incoming, self.cfg)
