@@ -22,8 +22,9 @@ MINIMA = ("min_amt", "min_nonpos")
 MAXIMA = ("max_amt", "max_nonpos", "max_pos")
 
 
-def transaction_cube(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """(customer, sign, country) -> additive statistics of raw transactions, NULL keys included."""
+def transaction_cube(tx: DataFrame, cfg: RiskConfig = DEFAULT, *more: str) -> DataFrame:
+    """(customer, sign, country) -> additive statistics of raw transactions, NULL keys included;
+    ``more`` names further key columns, such as the month."""
     amt = F.col(AMT)
     positive, nonpositive = amt > 0, amt <= 0
     whole = amt % cfg.round_unit == 0
@@ -32,7 +33,7 @@ def transaction_cube(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     def times(cond: Column) -> Column:
         return F.count(F.when(cond, 1))
 
-    return tx.groupBy(*KEYS).agg(
+    return tx.groupBy(*more, *KEYS).agg(
         F.count(F.lit(1)).alias("n_raw"),
         F.count(amt).alias("n_amt"),
         F.sum(amt).alias("s_amt"),

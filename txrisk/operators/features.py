@@ -222,8 +222,14 @@ def sign_bounds(df: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 
 def reached_bounds(profile: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The bounds of the groups whose largest amount reaches its bound. No other group has an
-    alert, so only these have to meet the facts."""
-    return sign_bounds(profile, cfg).where(F.col("max_amt") >= F.col("alert_from")).drop("max_amt")
+    alert, so only these have to meet the facts. Most groups are ruled out by a lower estimate
+    of their threshold in doubles (its errors rounded down), before the exact whole-number test.
+    """
+    n, s, q = (F.col(c).cast("double") for c in (PROFILE_MARKER, "s_amt", "q_amt"))
+    low = 1 - 1e-12
+    spread = F.sqrt(F.greatest(q / n * low - (s / n) * (s / n), F.lit(0.0)))
+    perhaps = F.col("max_amt") + 1 >= s / n * low + F.lit(float(cfg.sigma_multiplier)) * spread * low
+    return sign_bounds(profile.where((n > 0) & perhaps), cfg).where(F.col("max_amt") >= F.col("alert_from")).drop("max_amt")
 
 
 def hot_groups(profile: DataFrame) -> DataFrame | None:

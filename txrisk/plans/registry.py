@@ -16,10 +16,18 @@ from txrisk.config import DEFAULT, RiskConfig
 from txrisk.operators import explore as ex
 from txrisk.operators import features as feat
 from txrisk.operators import quality as q
+from txrisk.operators.cube import profile_of, transaction_cube
+from txrisk.plans.periods import PeriodStore
 from txrisk.plans.riskrun import RiskRun, country_rule_run, rate_customer
+from txrisk.session import Workspace, materialize
 from txrisk.sources.fixtures import FIXTURES, dirty_lines
 from txrisk.sources.ingest import STATUS, checked_lines, clean
 from txrisk.sources.schema import COLUMNS
+from txrisk.sources.sinks import hand_off
+
+# The list of the table-driven run: one country is in no other list ("NO").
+LISTED_COUNTRIES = ("RO", "PL", "NO")
+ROLLING_MONTHS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +80,25 @@ def loaded_lines(lines: DataFrame) -> DataFrame:
     return loaded.select(*[F.when(status == "good", F.col(c)).alias(c) for c in COLUMNS], status.alias(STATUS))
 
 
+def handed_off(tx: DataFrame, fmt: str) -> DataFrame:
+    """The rating as a written file reads back (rows and hash are compared on the way)."""
+    rating = RiskRun(tx).rating
+    return hand_off(rating, f"{Workspace(tx.sparkSession, 'hand-off').path}/rating", fmt)
+
+
+def rated_by_list(tx: DataFrame, take: Callable[[RiskRun], DataFrame]) -> DataFrame:
+    """A run whose high-risk list is a table (its countries joined to the cube)."""
+    listed = tx.sparkSession.createDataFrame([(c,) for c in LISTED_COUNTRIES], "CountryName string")
+    return take(RiskRun(tx, profile=materialize(profile_of(materialize(transaction_cube(tx)), DEFAULT, listed))))
+
+
+def month_store(tx: DataFrame) -> PeriodStore:
+    """Every month of the fixture, loaded into a store of its own."""
+    store = PeriodStore(tx.sparkSession, f"{Workspace(tx.sparkSession, 'months').path}/cubes")
+    store.load(tx)
+    return store
+
+
 # name -> (fixture, raw transactions -> result)
 BUILDERS: dict[str, Builder] = {
     # sources
@@ -126,6 +153,13 @@ BUILDERS: dict[str, Builder] = {
     "segment_limits": _raw(lambda tx: country_rule_run(tx).segment_limits),
     "segment_outliers": _raw(lambda tx: RiskRun(tx, SEGMENT_CONFIG).segment_outliers()),
     "romania_rule_hits": _raw(lambda tx: country_rule_run(tx).rule_hits),
+    # the high-risk list as a table, months, hand-off
+    "risk_rating_by_list": _raw(lambda tx: rated_by_list(tx, lambda r: r.rating)),
+    "incoming_by_list": _raw(lambda tx: rated_by_list(tx, lambda r: r.incoming)),
+    "rolling_sign_thresholds": _raw(lambda tx: month_store(tx).rolling_thresholds(ROLLING_MONTHS), "tx_months"),
+    "monthly_incoming": _raw(lambda tx: month_store(tx).monthly_incoming(), "tx_months"),
+    "risk_rating_parquet": _raw(lambda tx: handed_off(tx, "parquet")),
+    "risk_rating_csv": _raw(lambda tx: handed_off(tx, "csv")),
     # the rating on the second fixture, which reaches the outflow and one-to-many points
     "frequency_score_orders": _clean(feat.frequency_score_table, "tx_orders"),
     "frequency_histogram_orders": _raw(ex.frequency_histogram, "tx_orders"),

@@ -136,6 +136,11 @@ class RiskRun:
     def incoming(self) -> DataFrame:
         return rules.country_incoming(self.profile, self.rating, self.cfg)
 
+    @cached_property
+    def _kept_incoming(self) -> DataFrame:
+        """One row a customer, kept: order statistics read their input several times."""
+        return self._keep(self.incoming)
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Temporary views of the transactions, the clean view and every result, for
         ``spark.sql``; returns their names."""
@@ -151,6 +156,8 @@ class RiskRun:
             "outlier_transactions": self.outliers(order=False),
             "romania_incoming": self.incoming,
             "segment_thresholds": self.segment_thresholds,
+            "segment_limits": self.segment_limits,
+            "segment_outliers": self.segment_outliers(order=False),
             "romania_rule_hits": self.rule_hits,
         }
         for name, df in views.items():
@@ -159,11 +166,11 @@ class RiskRun:
 
     @cached_property
     def segment_thresholds(self) -> DataFrame:
-        return rules.segment_thresholds(self.incoming, self.cfg)
+        return rules.segment_thresholds(self._kept_incoming, self.cfg)
 
     @cached_property
     def segment_limits(self) -> DataFrame:
-        return rules.segment_limits(self.incoming, self.cfg)
+        return rules.segment_limits(self._kept_incoming, self.cfg)
 
     def segment_outliers(self, order: bool = True) -> DataFrame:
         """Rows above mean + 2 sigma of their customer's segment."""

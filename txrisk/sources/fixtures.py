@@ -37,7 +37,9 @@ SELECT cast(o_custkey AS int) AS CustomerID,
 FROM orders
 """
 
-FIXTURE_SQL = {"tx_lines": TX_LINES_SQL, "tx_orders": TX_ORDERS_SQL}
+TX_MONTHS_SQL = TX_LINES_SQL.replace("\nFROM (SELECT *, l_orderkey", ",\n       strftime(o_orderdate, '%Y-%m') AS period\nFROM (SELECT *, l_orderkey")
+
+FIXTURE_SQL = {"tx_lines": TX_LINES_SQL, "tx_orders": TX_ORDERS_SQL, "tx_months": TX_MONTHS_SQL}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +62,10 @@ def _country(k: Column, part: Column) -> Column:
 
 def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per line item; about 40 per customer. Main fixture."""
+    return _tx_lines(spark, sf_dir)
+
+
+def _tx_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag"
     )
@@ -76,9 +82,17 @@ def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "Debit").otherwise("Credit").alias(SIGN),
         amount.cast("int").alias(AMT),
         _country(k, part).alias(CTRY),
+        *more,
     )
 
 
+def tx_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx_lines`` with the month of the order in ``period``."""
+    month = _table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("period"))
+    lines = _tx_lines(spark, sf_dir, "l_orderkey")
+    return lines.join(month, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+
+
 def tx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order; about 10 per customer, close to the published profile."""
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -127,4 +141,4 @@ def dirty_lines(tx: DataFrame) -> DataFrame:
     return tx.select(value.otherwise(line(cid, sign, amount, country)).alias("value"))
 
 
-FIXTURES = {"tx_lines": tx_lines, "tx_orders": tx_orders}
+FIXTURES = {"tx_lines": tx_lines, "tx_orders": tx_orders, "tx_months": tx_months}
