@@ -78,3 +78,16 @@ def test_hot_group_of_a_trillion_rows(spark):
 def test_small_groups_can_be_left_out(spark):
     profile = _profile(spark, [_moments([(5, 2)]), _moments([(5, 3)])])
     assert [r["CustomerID"] for r in feat.sign_bounds(profile, RiskConfig(min_group_size=3)).collect()] == [1]
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_the_estimate_rules_out_no_group_that_reaches_its_bound(spark, k):
+    rng = random.Random(10 + k)
+    values = [[(rng.randint(1, 2 ** rng.randint(1, 31) - 1), rng.randint(1, 10**9)) for _ in range(rng.randint(1, 4))] for _ in range(300)]
+    # constant groups and groups that end exactly on their bound
+    values += [[(2**31 - 1, 4 * 10**9)], [(505782127, 2484771968)], [(10, 4), (60, 1)], [(10, 4 * 10**9), (60, 10**9)], [(7, 1)]]
+    rows = [(i, "Credit", *_moments(v)[:2], Decimal(_moments(v)[2]), max(x for x, _ in v)) for i, v in enumerate(values)]
+    profile = spark.createDataFrame(rows, SCHEMA + ", max_amt int")
+    cfg = RiskConfig(sigma_multiplier=k)
+    want = {i for i, v in enumerate(values) if max(x for x, _ in v) >= _first(*_moments(v), False, k)}
+    assert {r["CustomerID"] for r in feat.reached_bounds(profile, cfg).collect()} == want and len(want) > 5

@@ -228,7 +228,7 @@ def reached_bounds(profile: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     n, s, q = (F.col(c).cast("double") for c in (PROFILE_MARKER, "s_amt", "q_amt"))
     low = 1 - 1e-12
     spread = F.sqrt(F.greatest(q / n * low - (s / n) * (s / n), F.lit(0.0)))
-    perhaps = F.col("max_amt") + 1 >= s / n * low + F.lit(float(cfg.sigma_multiplier)) * spread * low
+    perhaps = F.col("max_amt").cast("double") + 1 >= s / n * low + F.lit(float(cfg.sigma_multiplier)) * spread * low
     return sign_bounds(profile.where((n > 0) & perhaps), cfg).where(F.col("max_amt") >= F.col("alert_from")).drop("max_amt")
 
 
