@@ -68,6 +68,22 @@ def segment(total: Column, cfg: RiskConfig) -> Column:
     return band(total, cfg.segment_bands)
 
 
+def square_sum(amount: Column, counted: Column) -> Column:
+    """Exact sum of squares of the counted whole amounts, as decimal(30,0).
+
+    A square is added up in three parts of 21 bits, so the aggregation works on longs (decimals
+    cost several times as much a row) and holds 4 * 10^12 rows a group; the parts are put
+    together once a group.
+    """
+    square = amount.cast("long") * amount.cast("long")
+    total = None
+    for shift in (42, 21, 0):
+        part = F.shiftright(square, shift).bitwiseAND(F.lit((1 << 21) - 1))
+        term = F.sum(F.when(counted, part)).cast("decimal(19,0)") * F.lit(1 << shift).cast("decimal(13,0)")
+        total = term if total is None else total + term
+    return total.cast("decimal(30,0)")
+
+
 def centred(n: Column, s: Column, q: Column) -> dict[str, Column]:
     """Exact moments of a group around the whole part of its mean.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from txrisk.config import DEFAULT, RiskConfig
 from txrisk.functions.ordering import total_order
-from txrisk.functions.scoring import band
+from txrisk.functions.scoring import band, square_sum
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
 
 KEYS = (ID, SIGN, CTRY)
@@ -28,7 +28,6 @@ def transaction_cube(tx: DataFrame, cfg: RiskConfig = DEFAULT, *more: str) -> Da
     amt = F.col(AMT)
     positive, nonpositive = amt > 0, amt <= 0
     whole = amt % cfg.round_unit == 0
-    square = (amt.cast("long") * amt.cast("long")).cast("decimal(20,0)")
 
     def times(cond: Column) -> Column:
         return F.count(F.when(cond, 1))
@@ -50,7 +49,7 @@ def transaction_cube(tx: DataFrame, cfg: RiskConfig = DEFAULT, *more: str) -> Da
         times(whole & (amt > cfg.round_over)).alias("n_round_over"),
         times(positive).alias("n_pos"),
         F.sum(F.when(positive, amt)).alias("s_pos"),
-        F.sum(F.when(positive, square)).alias("q_pos"),
+        square_sum(amt, positive).alias("q_pos"),
         F.max(F.when(positive, amt)).alias("max_pos"),
     )
 

@@ -18,6 +18,7 @@ from txrisk.functions.scoring import (
     flag,
     frequency_score,
     ratio_or_sentinel,
+    square_sum,
     threshold_columns,
 )
 from txrisk.sources.schema import AMT, CTRY, ID, SIGN
@@ -42,14 +43,13 @@ def customer_profile(tx: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     def clean_count(what) -> Column:
         return F.count(F.when(positive, what))
 
-    square = (amt.cast("long") * amt.cast("long")).cast("decimal(20,0)")
     return tx.groupBy(ID, SIGN).agg(
         F.count(F.col(ID)).alias("seen"),
         clean_count(F.lit(1)).alias(PROFILE_MARKER),
         clean_count(F.col(ID)).alias("n_id"),
         clean_count(F.col(CTRY)).alias("n_ctry"),
         F.sum(F.when(positive, amt)).alias("s_amt"),
-        F.sum(F.when(positive, square)).alias("q_amt"),
+        square_sum(amt, positive).alias("q_amt"),
         F.max(F.when(positive, amt)).alias("max_amt"),
         *[F.count(F.when(positive & (F.col(CTRY) == c), 1)).alias(f"n_{c}") for c in cfg.countries],
         F.count(F.when(positive & listed, 1)).alias("n_hrc"),
