@@ -33,10 +33,12 @@ class EliasFano:
         np.bitwise_or.at(high, ones >> 3, (1 << (ones & 7)).astype(np.uint8))
         return cls(n, low_bits, low, high, ones[::STEP].astype("<u4"))
 
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        bits = np.unpackbits(self.low, bitorder="little")
-        at = i[:, None] * self.low_bits + np.arange(self.low_bits)
-        return (bits[at].astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+    def _low(self, a: int, b: int) -> np.ndarray:
+        """The low parts of elements a to b, from their bytes alone."""
+        first = a * self.low_bits
+        bits = np.unpackbits(self.low[first >> 3 : (b * self.low_bits + 7) >> 3], bitorder="little")
+        bits = bits[first & 7 :][: (b - a) * self.low_bits].reshape(b - a, self.low_bits)
+        return (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
 
     def select(self, i: int) -> int:
         """Position of the i-th set bit of the high array, from the nearest sample before it."""
@@ -59,11 +61,34 @@ class EliasFano:
         low = int.from_bytes(part, "little") >> (first & 7) & ((1 << self.low_bits) - 1)
         return (self.select(i) - i << self.low_bits) | low
 
+    def values(self, a: int, b: int) -> np.ndarray:
+        """Elements a to b: the high array is read between their two selected bits only."""
+        if not 0 <= a <= b <= self.n:
+            raise IndexError((a, b))
+        if a == b:
+            return np.zeros(0, np.int64)
+        first, last = self.select(a), self.select(b - 1)
+        bits = np.unpackbits(self.high[first >> 3 : (last >> 3) + 1], bitorder="little")
+        ones = np.flatnonzero(bits[first & 7 :])[: b - a] + first
+        high = ones - np.arange(a, b)
+        return (high << self.low_bits) | (self._low(a, b) if self.low_bits else 0)
+
     def decode(self) -> np.ndarray:
         """All values."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        high = ones - np.arange(self.n)
-        return (high << self.low_bits) | (self._low(np.arange(self.n)) if self.low_bits else 0)
+        return self.values(0, self.n)
+
+    def last_at_most(self, value: int, a: int) -> int:
+        """The last element from a on that is at most ``value`` (a itself at least), by
+        selects: steps that double, then halve."""
+        step = 1
+        while a + step < self.n and self[a + step] <= value:
+            a += step
+            step *= 2
+        while step:
+            if a + step < self.n and self[a + step] <= value:
+                a += step
+            step //= 2
+        return a
 
     def to_bytes(self) -> bytes:
         head = np.array([self.n, self.low_bits, self.low.size, self.high.size, self.samples.size], "<u8")

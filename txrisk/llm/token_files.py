@@ -7,8 +7,12 @@ doc_id; ``_manifest.json`` lists the shards that a job committed, so files of fa
 repeated tasks are never read.
 
 Defined cases: a null or empty text is one end id; rows of one doc_id keep the order of
-their texts; rows with a null doc_id come first and are read back with a null doc_id; an
-empty table gives a manifest without shards; columns other than the two named are ignored.
+their texts; rows with a null doc_id come first and are read back with a null doc_id; a very
+long text is encoded whole and read back as a block of its own; an empty table gives a manifest
+without shards; columns other than the two named are ignored.
+
+The reader finds where its blocks of documents end by select on the boundaries, and unpacks
+those of one block at a time; ``ShardFile.document`` reads one document by two selects.
 """
 
 from __future__ import annotations
@@ -121,9 +125,16 @@ class ShardFile:
     def document(self, i: int) -> np.ndarray:
         return self.span(self.bounds[i], self.bounds[i + 1])
 
-    def doc_ids(self) -> pa.Array:
-        known = pa.array(self.names.decode() + self.info["base"], pa.int64())
-        return pa.concat_arrays([pa.nulls(self.info["nulls"], pa.int64()), known])
+    def block_end(self, i: int, size: int) -> int:
+        """Where a block of whole documents from i on ends, of about ``size`` ids (one longer
+        document is a block)."""
+        return max(self.bounds.last_at_most(self.bounds[i] + size, i), i + 1)
+
+    def doc_ids(self, a: int, b: int) -> pa.Array:
+        """The ids of documents a to b; those without one come first."""
+        nulls = self.info["nulls"]
+        known = self.names.values(max(a - nulls, 0), max(b - nulls, 0)) + self.info["base"]
+        return pa.concat_arrays([pa.nulls(max(0, min(b, nulls) - a), pa.int64()), pa.array(known, pa.int64())])
 
 
 class ShardPart(InputPartition):
@@ -150,14 +161,12 @@ class ShardReader(DataSourceReader):
         if not partition.value:
             return
         f = ShardFile(f"{self.path}/{partition.value}")
-        bounds, names = f.bounds.decode(), f.doc_ids()
         at = 0
         while at < len(f):
-            to = int(np.searchsorted(bounds, bounds[at] + READ_BYTES // f.dtype.itemsize, "right")) - 1
-            to = min(max(to, at + 1), len(f))
-            b = bounds[at : to + 1]
+            to = f.block_end(at, READ_BYTES // f.dtype.itemsize)
+            b = f.bounds.values(at, to + 1)
             ids = f.span(int(b[0]), int(b[-1])).astype("<u4")
-            cols = [names.slice(at, to - at), pa.array(b[:-1] + partition.start), pa.array(np.diff(b))]
+            cols = [f.doc_ids(at, to), pa.array(b[:-1] + partition.start), pa.array(np.diff(b))]
             if self.digest:
                 view, rel = memoryview(ids).cast("B"), ((b - b[0]) * 4).tolist()
                 crc = [zlib.crc32(view[x:y]) for x, y in zip(rel[:-1], rel[1:], strict=True)]
