@@ -4,11 +4,14 @@ A text is the histogram of its hashed byte trigrams (A-Z lower-cased, everything
 and bytes of non-ASCII characters as a space), square-rooted and scaled to length 1. One
 linear SVM a family against the rest chooses the family; inside it one linear SVM for each
 pair of languages votes, and the summed margins break ties. They are fitted on at most
-``per_language`` documents of each language (those with the smallest hash of their id).
+``per_language`` documents of each language (those with the smallest hash of their id), fewer
+where there are so many languages that ``sample`` documents would be passed; every language
+with a document to learn from is learnt, with one at least.
 
 Defined cases: a null text and a text without a letter give ``und`` with score 0; documents
 with a null lang or doc_id are not learnt from; a language outside ``FAMILIES`` is a family of
-its own; without anything to learn from every text gives ``und``; repeated rows are predicted
+its own; very long texts are counted whole; ties go to the first family or language by name;
+without anything to learn from every text gives ``und``; repeated rows are predicted
 each; other columns are ignored.
 """
 
@@ -49,12 +52,13 @@ _SPACED[[c for c in range(128) if not chr(c).isalpha()]] = 32
 _ASCII_LETTER = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
 _LETTER = regex.compile(r"\p{L}")
 ROWS = 512
+PARTS = 64  # into which each language's ids are dealt for their ranking
 
 
 @dataclass(frozen=True)
 class LangConfig:
     per_language: int = 600
-    max_languages: int = 200  # of the most frequent lang values
+    sample: int = 16_000  # documents fitted on, of all languages together
     dims: int = 4096
     steps: int = 1500
     l2: float = 1e-4
@@ -165,25 +169,35 @@ def fit(x: np.ndarray, lang: np.ndarray, cfg: LangConfig) -> LangModel | None:
 
 
 def train(docs: DataFrame, cfg: LangConfig) -> LangModel | None:
-    """``docs``: doc_id, text, lang. The sample's ids (bounded by ``max_languages`` times
-    ``per_language``) are found without reading a text and broadcast to the scan."""
+    """``docs``: doc_id, text, lang. The sample's ids (at most ``sample``, or one a language)
+    are found without reading a text and broadcast to the scan. A language's ids are ranked in
+    ``PARTS`` parts first, so no task gets all of a frequent one. The driver gets the bins that
+    are not 0."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (crc32_mod(F.col("doc_id"), cfg.folds) != cfg.held_out))
-    top = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(cfg.max_languages).select("lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").join(F.broadcast(top), "lang").withColumn("rank", rank).where(F.col("rank") <= cfg.per_language).select("doc_id", "lang")
+    each = max(1, min(cfg.per_language, cfg.sample // max(1, usable.select("lang").distinct().count())))
+    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(PARTS)))
+
+    def first(rows: DataFrame, *by: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
+        return rows.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
+
+    ids = first(first(hashed, "lang", "part"), "lang").select("doc_id", "lang")
 
     def take(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             for s in slices(b.column("text"), max_rows=ROWS):
                 x = histogram(s, cfg.dims)
-                ok = has_letter(s)
-                rows = [r.tobytes() for r, good in zip(x, ok, strict=True) if good]
-                at = pa.array(np.flatnonzero(ok) + s.lo)
-                yield pa.record_batch([b.column("doc_id").take(at), b.column("lang").take(at), pa.array(rows, pa.binary())], names=["doc_id", "lang", "x"])
+                at = np.flatnonzero(has_letter(s))
+                bins = [np.flatnonzero(x[i]) for i in at.tolist()]
+                ids = pa.array(at + s.lo)
+                packed = [pa.array([k.astype("<u4").tobytes() for k in bins], pa.binary()), pa.array([x[i, k].tobytes() for i, k in zip(at.tolist(), bins, strict=True)], pa.binary())]
+                yield pa.record_batch([b.column("doc_id").take(ids), b.column("lang").take(ids), *packed], names=["doc_id", "lang", "bins", "x"])
 
     picked = docs.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
-    got = picked.mapInArrow(take, "doc_id long, lang string, x binary").toArrow().sort_by("doc_id")
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, cfg.dims)
+    got = picked.mapInArrow(take, "doc_id long, lang string, bins binary, x binary").toArrow().sort_by("doc_id")
+    x = np.zeros((got.num_rows, cfg.dims), np.float32)
+    for i, (bins, v) in enumerate(zip(got.column("bins"), got.column("x"), strict=True)):
+        x[i, np.frombuffer(bins.as_py(), "<u4")] = np.frombuffer(v.as_py(), np.float32)
     return fit(x, np.array(got.column("lang").to_pylist(), object), cfg)
 
 
