@@ -6,7 +6,9 @@ set of its terms, and its log-odds are
 ``b + sum(w_i) + sum over pairs (i < j) of <v_i, v_j> / m`` (m known terms in it), so a pair such
 as an insult next to a group's name can weigh more than its parts. The machine is fitted on
 at most ``sample`` labelled documents (those with the smallest hash of their id), over the
-``terms`` terms that tell the labels apart best; scoring is one pass over whole texts.
+``terms`` terms that tell the labels apart best: terms are counted by label in Spark, and the
+driver gets the best ones and one bit for each of them a document. Scoring is one pass over
+whole texts.
 
 Defined cases: a null, empty or unknown-only text has the score of the bias alone; a document
 with several labels counts as toxic if one says so; null labels are not learnt from; without
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm.shared import crc32_mod, ship, table
+from txrisk.llm.shared import crc32_mod, ship, stored, table
 from txrisk.llm.textvec import LOWER, NOT_TERM, Slice, U, distinct_by_row, hash_spans, mix, slices, sorted_unique, words
 
 
@@ -81,8 +83,8 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, sample: int, folds
     return docs.join(F.broadcast(ids), "doc_id")
 
 
-def training_terms(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labels and the flat (document, term) list of the sample, gathered from the tasks."""
+def training_terms(rows: DataFrame) -> DataFrame:
+    """(doc_id, y, terms) of the sample, kept: they are read for the counts and for the bits."""
 
     def take(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -92,35 +94,44 @@ def training_terms(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(h.view(np.int64)))
                 yield pa.record_batch([b.column("doc_id").slice(s.lo, s.rows), b.column("y").slice(s.lo, s.rows), lists], names=["doc_id", "y", "terms"])
 
-    got = rows.select("doc_id", "y", "text").mapInArrow(take, "doc_id long, y int, terms array<long>").toArrow().sort_by("doc_id").combine_chunks()
-    lists = got.column("terms").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int64()))
-    doc = np.repeat(np.arange(got.num_rows), np.diff(lists.offsets.to_numpy()) if got.num_rows else [])
-    return got.column("y").to_numpy().astype(np.float64), doc, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    return stored(rows.select("doc_id", "y", "text").mapInArrow(take, "doc_id long, y int, terms array<long>"), "terms")
 
 
-def choose(y: np.ndarray, doc: np.ndarray, h: np.ndarray, cfg: FMConfig) -> np.ndarray:
+def choose(sample: DataFrame, cfg: FMConfig) -> np.ndarray:
     """The terms with the largest chi-square statistic, ascending by hash."""
-    order = np.argsort(h, kind="stable")
-    h, doc = h[order], doc[order]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if h.size else np.zeros(0, np.int64)
-    n = np.diff(np.append(first, h.size))
-    pos = np.add.reduceat(y[doc], first) if first.size else np.zeros(0)
-    p = y.mean()
-    score = np.where(n >= cfg.min_docs, (pos - n * p) ** 2 / (n * p * (1 - p)) / (1 - n / (y.size + 1)), -1.0)
-    best = np.argsort(-score, kind="stable")[: cfg.terms]
-    return sorted_unique(h[first[best[score[best] > 0]]])
-
-
-def fit(y: np.ndarray, doc: np.ndarray, h: np.ndarray, cfg: FMConfig) -> FM | None:
+    total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if toxic in (0, total):
+        return np.zeros(0, np.uint64)
+    p = toxic / total
+    counted = sample.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("y").alias("pos")).where(F.col("n") >= cfg.min_docs)
+    off = F.col("pos") - F.col("n") * F.lit(p)
+    score = off * off / (F.col("n") * F.lit(p) * F.lit(1 - p)) / (F.lit(1.0) - F.col("n") / F.lit(total + 1))
+    unsigned = F.col("term").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+    best = counted.withColumn("score", score).where("score > 0").orderBy(F.desc("score"), unsigned).limit(cfg.terms)
+    return sorted_unique(np.array([r.term for r in best.select("term").collect()], np.int64).view(np.uint64))
+
+
+def known_terms(sample: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and the 0/1 matrix of the sample: a bit a term and document comes to the driver."""
+
+    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            bits = []
+            for k in range(b.num_rows):
+                h = b.column("terms")[k].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                bits.append(np.packbits(np.isin(vocabulary, h)).tobytes())
+            yield pa.record_batch([b.column("doc_id"), b.column("y"), pa.array(bits, pa.binary())], names=["doc_id", "y", "bits"])
+
+    got = sample.select("doc_id", "y", "terms").mapInArrow(pack, "doc_id long, y int, bits binary").toArrow().sort_by([("doc_id", "ascending"), ("bits", "ascending")])
+    flat = np.frombuffer(b"".join(got.column("bits").to_pylist()), np.uint8).reshape(got.num_rows, (vocabulary.size + 7) // 8)
+    x = np.unpackbits(flat, axis=1, count=vocabulary.size) if vocabulary.size else np.zeros((got.num_rows, 0), np.uint8)
+    return got.column("y").to_numpy().astype(np.float64), x
+
+
+def fit(y: np.ndarray, x: np.ndarray, vocabulary: np.ndarray, cfg: FMConfig) -> FM | None:
     """Mini-batch Adam on the logistic loss; None without both labels."""
     if y.size == 0 or y.min() == y.max():
         return None
-    vocabulary = choose(y, doc, h, cfg)
-    at = np.minimum(np.searchsorted(vocabulary, h), max(vocabulary.size - 1, 0))
-    x = np.zeros((y.size, vocabulary.size), np.uint8)
-    if vocabulary.size:
-        ok = vocabulary[at] == h
-        x[doc[ok], at[ok]] = 1
     rng = np.random.default_rng(0)
     d, k = vocabulary.size, cfg.factors
     theta = [np.array([np.log(y.mean() / (1 - y.mean()))]), np.zeros(d), rng.normal(0, 0.01, (d, k))]
@@ -147,7 +158,9 @@ def fit(y: np.ndarray, doc: np.ndarray, h: np.ndarray, cfg: FMConfig) -> FM | No
 
 
 def train(docs: DataFrame, labels: DataFrame, cfg: FMConfig) -> FM | None:
-    return fit(*training_terms(labelled(docs, labels, "toxic", cfg.sample, cfg.folds, cfg.held_out)), cfg)
+    sample = training_terms(labelled(docs, labels, "toxic", cfg.sample, cfg.folds, cfg.held_out))
+    vocabulary = choose(sample, cfg)
+    return fit(*known_terms(sample, vocabulary), vocabulary, cfg)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, cfg: FMConfig | None = None, id_col: str = "doc_id", text_col: str = "text", learn_from: DataFrame | None = None) -> DataFrame:
