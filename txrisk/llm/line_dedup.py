@@ -5,7 +5,9 @@
    once & once'), region by region, in tasks of their own; a key seen twice anywhere has all
    its bits in the merged twice filter, which is the only thing broadcast.
 2. Only keys found there are shuffled, as 128-bit digests with their doc_id, once a document:
-   exact document counts and the largest doc_id follow from two grouped passes.
+   exact document counts and the largest doc_id follow from two grouped passes. Lines that
+   hold more than half of a partition's even share of these rows are fewer than twice the
+   partitions: they are broadcast and met where the rows are read, so no task gets a hot line.
 3. The keys each document loses are joined to it and its text is rewritten.
 
 The filter takes ``BITS_A_DOC`` bits a document, at most ``MAX_BITS`` (128 MB): beyond that
@@ -154,8 +156,13 @@ def repeated_lines(docs: DataFrame, cfg: LineConfig) -> DataFrame:
                 yield pa.record_batch([ids, pa.array(k1[hit].view(np.int64)), pa.array(k2[hit].view(np.int64))], names=["doc_id", "k1", "k2"])
 
     found = stored(texts.mapInArrow(suspects, "doc_id long, k1 long, k2 long").distinct(), "lines")
-    confirmed = found.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= cfg.min_docs)
-    return found.join(confirmed, ["k1", "k2"]).where("doc_id < keeper").groupBy("doc_id").agg(F.collect_list("k1").alias("k1s"), F.collect_list("k2").alias("k2s"))
+    repeats = found.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= cfg.min_docs)
+    confirmed = stored(repeats, "repeats")
+    share = found.count() / (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot, rest = F.broadcast(confirmed.where(F.col("n") > share)), confirmed.where(F.col("n") <= share)
+    key = ["k1", "k2"]
+    lost = found.join(hot, key).union(found.join(hot.select(*key), key, "left_anti").join(rest, key))
+    return lost.where("doc_id < keeper").groupBy("doc_id").agg(F.collect_list("k1").alias("k1s"), F.collect_list("k2").alias("k2s"))
 
 
 def line_dedup(docs: DataFrame, cfg: LineConfig | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
