@@ -315,6 +315,44 @@ def test_every_place_of_a_passage_in_the_smallest_document(spark):
     assert len(got[got.doc_id == 3]) == 2 and len(got[got.doc_id == 1]) == 1 and got.n_words.between(70, 76).all()
 
 
+@pytest.mark.parametrize(("parts", "block"), [(1, 1024), (64, 1024), (8, 16)])
+def test_siblings_of_a_centre_that_fails(spark, monkeypatch, parts, block):
+    """60 passages of 52 words: the smallest document holds 45 of the words, which is too little,
+    two others hold all. And a crowd of 300 with one line of 20 words, three of which share the
+    text around it too."""
+    monkeypatch.setattr(passages, "CLASS_BLOCK", block)
+    rng = np.random.default_rng(51)
+    within = lambda *parts: " ".join([prose(30, rng), *(" ".join(p) for p in parts), prose(30, rng)])
+    texts, want = [], set()
+    for g in range(60):
+        whole = [f"g{g}x{w}" for w in rng.integers(0, 300, 52)]
+        texts += [(10 * g, within(whole[:45])), (10 * g + 1, within(whole)), (10 * g + 2, within(whole))]
+        want |= {10 * g + 1, 10 * g + 2}
+    line = [f"line{w}" for w in range(20)]
+    shared = [[f"s{v}" for v in rng.integers(0, 300, 18)] for _ in range(2)]
+    for k in range(300):
+        before, after = shared if k % 100 == 50 else [[f"c{k}v{v}" for v in rng.integers(0, 300, 18)] for _ in range(2)]
+        texts.append((1000 + k, within(before, line, after)))
+    want |= {1050, 1150, 1250}
+    got = rows(passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)))
+    assert set(got.doc_id) == want and len(got) == len(want)
+    assert got.n_words.between(50, 62).all()
+
+
+def test_places_shared_by_blocks_of_a_key():
+    """Shared shingles of every two rows, and the partners chosen, against sets."""
+    rng = np.random.default_rng(61)
+    around = [rng.integers(0, 90, 60).astype(np.uint32) for _ in range(40)]
+    row = np.repeat(np.arange(40), 60)
+    held, number, good = passages._shared(np.zeros(40, np.int64), row, np.concatenate(around), 40)
+    near = passages._near_rows(held, number, 40)
+    for i in range(40):
+        assert good[i] == (len({x for x in around[i].tolist() if any(x in around[j] for j in range(40) if j != i)}) >= passages.NEAR)
+        for j in range(40):
+            if i != j:
+                assert near[i, j] == len(set(around[i].tolist()) & set(around[j].tolist()))
+
+
 def test_blocks_of_the_benchmark_do_not_change_the_similarity(spark, monkeypatch):
     rng = np.random.default_rng(41)
     common = prose(30, rng)
