@@ -102,3 +102,26 @@ def test_rating_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(seen) == 1
+
+
+def test_items_meet_their_order_in_three_columns(spark, tmp_path):
+    """The join of items and orders moves key, amount and one code; nulls and odd rows as in SQL."""
+    import duckdb
+
+    from txrisk.sources.fixtures import TX_LINES_SQL
+
+    items = [(o, p, n, x, f) for o in (1, 2, 3, 7, 214, 431, None) for p in (1, 2, 3, None) for n, x, f in ((1, 105.5, "R"), (2, None, "N"), (None, 99.0, None), (6, 20.0, "A"))]
+    items += [(k // 7, 5, k % 7, 1234.5, "R") for k in (1507, 3011, 2000, 2003, 2004, 2005, 2006, 5013, 5017)]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_linenumber int, l_extendedprice double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(k, k % 3 or None) for k in {i[0] for i in items if i[0]}] + [(1, 9), (None, 4)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    tx = tx_lines(spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    got, want = tx.collect(), con.execute(TX_LINES_SQL).fetchall()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and {r[3] for r in got} >= {"RO", "RU", "PL", "CY", "NO", None}
+    node = tx._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    assert node.children().head().output().size() == 3

@@ -46,6 +46,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: The countries of ``_country``; NULL is the number after them.
+COUNTRIES = ("RO", "RU", "PL", "CY", "NO", "FI", "DK", "SE")
+
+
 def _country(k: Column, part: Column) -> Column:
     return (
         F.when(k % 1000 < 4, "RO")
@@ -66,9 +70,7 @@ def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tx_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag"
-    )
+    li = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     part = F.col("l_partkey")
@@ -77,11 +79,23 @@ def _tx_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
         .when(k % 3000 == 11, F.lit(0))
         .otherwise(F.floor(F.col("l_extendedprice") / 10))
     )
+    # an item meets its order as amount and one byte for sign and country, so the join moves few bytes
+    country = _country(k, part)
+    number = F.lit(len(COUNTRIES))
+    for i, c in enumerate(COUNTRIES):
+        number = F.when(country == c, i).otherwise(number)
+    debit = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    code = (number * 2 + F.when(debit, 1).otherwise(0)).cast("byte")
+    li = li.select("l_orderkey", amount.cast("int").alias(AMT), code.alias("_code"))
+    number = F.shiftright(F.col("_code"), 1)
+    country = F.lit(None).cast("string")
+    for i, c in enumerate(COUNTRIES):
+        country = F.when(number == i, c).otherwise(country)
     return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("int").alias(ID),
-        F.when(F.col("l_returnflag") == "R", "Debit").otherwise("Credit").alias(SIGN),
-        amount.cast("int").alias(AMT),
-        _country(k, part).alias(CTRY),
+        F.when(F.col("_code") % 2 == 1, "Debit").otherwise("Credit").alias(SIGN),
+        F.col(AMT),
+        country.alias(CTRY),
         *more,
     )
 
