@@ -135,3 +135,17 @@ def test_segment_limits_equal_brute_force(spark, budget):
         allowed = budget["hits"] if "hits" in budget else len(values) * round(budget["share"] * 10000) // 10000
         want[seg] = (len(values), *brute_limit(values, allowed))
     assert got == want
+
+
+def test_rolling_rows_move_once_and_equal_every_window(spark, tmp_path):
+    data = [(c, s, 10 * (c or 5) + 7 * m + k * k, t, f"2024-0{m}") for c in (1, 2, 3, None) for s in ("Credit", "Debit", None) for m in (1, 2, 4, 5) if (c or 0) != m for k, t in enumerate(("FI", "RO", None))]
+    store = PeriodStore(spark, str(tmp_path / "store"))
+    store.load(spark.createDataFrame(data, "CustomerID int, TransactionSign string, TransactionAmount int, TransactionCountry string, period string"))
+    got = store.rolling_thresholds(3)
+    stored = ["2024-01", "2024-02", "2024-04", "2024-05"]
+    for k, month in enumerate(stored):
+        window = store.thresholds(stored[max(0, k - 2) : k + 1])
+        assert rows(got.where(F.col("period") == month).drop("period")) == rows(window) != []
+    # the copies for each window are made where the rows of a customer are, not before an exchange
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in x and "TransactionSign" in x for x in plan.splitlines()) == 1

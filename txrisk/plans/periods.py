@@ -69,21 +69,39 @@ class PeriodStore:
         """A rating run whose profile covers the window; ``tx`` are the facts of all its months."""
         return RiskRun(tx, self.cfg, profile=self.profile(periods))
 
-    def rolling_cube(self, months: int) -> DataFrame:
-        """For every stored month, the cube of it and of the stored months before it, ``months`` in
-        all. Each month's cube is copied once for each window that holds it."""
+    def _windows(self, months: int) -> DataFrame:
+        """(_month, window): every stored month with each window that holds it, ``months`` rows a
+        stored month at most, so it can be broadcast whatever the facts."""
         # months in order; one row a stored month, so a single window is small whatever the facts
         known = self.cubes().select(PERIOD).distinct().withColumn("_nr", F.row_number().over(Window.partitionBy().orderBy(PERIOD)))
         held = known.select(F.col(PERIOD).alias("_month"), F.explode(F.sequence("_nr", F.col("_nr") + months - 1)).alias("_nr"))
-        windows = held.join(known.withColumnRenamed(PERIOD, "window"), "_nr").drop("_nr")
-        rows = self.cubes().join(windows, F.col(PERIOD) == F.col("_month"))
+        return F.broadcast(held.join(F.broadcast(known.withColumnRenamed(PERIOD, "window")), "_nr").drop("_nr"))
+
+    def rolling_cube(self, months: int) -> DataFrame:
+        """For every stored month, the cube of it and of the stored months before it, ``months`` in
+        all. Each month's cube is copied once for each window that holds it."""
+        rows = self.cubes().join(self._windows(months), F.col(PERIOD) == F.col("_month"))
         return merged(rows.drop(PERIOD, "_month"), "window")
 
     def rolling_thresholds(self, months: int) -> DataFrame:
-        """(window, customer, sign) thresholds over the ``months`` stored months up to each one."""
-        cube = self.rolling_cube(months).where(F.col(ID).isNotNull() & F.col(SIGN).isNotNull() & (F.col("n_pos") > 0))
-        key = F.struct("window", ID).alias(ID)  # a customer of a window is a customer of its own
-        found = feat.sign_thresholds(profile_of(cube.select(key, *[c for c in cube.columns if c not in ("window", ID)]), self.cfg), self.cfg)
+        """(window, customer, sign) thresholds over the ``months`` stored months up to each one.
+
+        The cubes' rows move once, by customer and sign (a few rows a month each, however many
+        facts it has): there they are added up by month and then, copied, by window. The number
+        of partitions is explicit, as the copies are made after the exchange."""
+        rows = self.cubes().where(F.col(ID).isNotNull() & F.col(SIGN).isNotNull() & (F.col("n_pos") > 0))
+        rows = rows.select(PERIOD, ID, SIGN, "n_pos", "s_pos", "q_pos")
+        rows = rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), ID, SIGN)
+
+        def added(df: DataFrame, month: str) -> DataFrame:
+            return df.groupBy(month, ID, SIGN).agg(*[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in ("n_pos", "s_pos", "q_pos")])
+
+        held = added(rows, PERIOD).join(self._windows(months), F.col(PERIOD) == F.col("_month")).drop(PERIOD, "_month")
+        profile = added(held, "window").select(
+            F.struct("window", ID).alias(ID),  # a customer of a window is a customer of its own
+            SIGN, F.col("n_pos").alias("n_rows"), F.col("s_pos").alias("s_amt"), F.col("q_pos").cast("decimal(30,0)").alias("q_amt"),
+        )
+        found = feat.sign_thresholds(profile, self.cfg)
         return found.select(F.col(f"{ID}.window").alias(PERIOD), F.col(f"{ID}.{ID}").alias(ID), *[c for c in found.columns if c != ID])
 
     def monthly_incoming(self) -> DataFrame:
