@@ -315,6 +315,22 @@ def test_every_place_of_a_passage_in_the_smallest_document(spark):
     assert len(got[got.doc_id == 3]) == 2 and len(got[got.doc_id == 1]) == 1 and got.n_words.between(70, 76).all()
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+def test_siblings_of_a_similar_centre_are_linked(spark, parts):
+    """Three versions of 100 words, each two of them similar: the star has two of the three links."""
+    rng = np.random.default_rng(71)
+    texts = []
+    for g in range(8):
+        for k, place in enumerate((None, 30, 70)):
+            own = [f"g{g}x{w}" for w in range(100)]
+            if place:
+                own[place] = "changed"
+            texts.append((10 * g + k, " ".join([prose(30, rng), *own, prose(30, rng)])))
+    got = rows(passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)))
+    assert set(got.doc_id) == {i for i, _ in texts} and len(got) == len(texts)
+    assert (got.n_links == 2).all()
+
+
 @pytest.mark.parametrize(("parts", "block"), [(1, 1024), (64, 1024), (8, 16)])
 def test_siblings_of_a_centre_that_fails(spark, monkeypatch, parts, block):
     """60 passages of 52 words: the smallest document holds 45 of the words, which is too little,
