@@ -18,6 +18,7 @@ from txrisk.llm.bpe import Encoder, default_tokenizer  # noqa: E402
 from txrisk.llm.elias_fano import EliasFano  # noqa: E402
 from txrisk.llm.shared import workspace  # noqa: E402
 from txrisk.llm.textvec import slices  # noqa: E402
+from txrisk.session import ensure_checkpoint_dir  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `n_lines` string, `block` string"
@@ -369,6 +370,47 @@ def test_places_shared_by_blocks_of_a_key():
                 assert near[i, j] == len(set(around[i].tolist()) & set(around[j].tolist()))
 
 
+@pytest.mark.parametrize("size", [1, 3, 16, 17, 60])
+def test_near_pairs_of_groups_equal_sets(size):
+    rng = np.random.default_rng(size)
+    group = np.repeat(np.arange(120 // size), size)
+    around = [rng.choice(90, rng.integers(45, 80), replace=False).astype(np.uint32) for _ in group]
+    i, j = passages._near_pairs(group, pa.array([x.tobytes() for x in around], pa.binary()))
+    near = lambda a, b: group[a] == group[b] and len(set(around[a].tolist()) & set(around[b].tolist())) >= passages.NEAR
+    want = {(a, b) for b in range(group.size) for a in range(b) if near(a, b)}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and i.size == len(want) and (size == 1 or want)
+
+
+def test_distinct_shingles_of_stretches():
+    rng = np.random.default_rng(81)
+    h = np.concatenate([rng.integers(0, 60, 300), np.arange(200), np.tile(np.arange(6), 50)]).astype(np.uint32)
+    low = rng.integers(0, h.size, 200)
+    high = np.minimum(low + rng.integers(1, 2 * passages.AROUND + 2, 200), h.size)
+    assert passages._distinct(h, low, high).tolist() == [len(set(h[a:b].tolist())) for a, b in zip(low, high, strict=True)]
+
+
+def test_members_of_a_large_key_without_company_leave(spark, monkeypatch):
+    monkeypatch.setattr(passages, "CLASS_BLOCK", 16)
+    rng = np.random.default_rng(91)
+    line, shared = np.arange(20), np.arange(1000, 1030)
+    around = [np.concatenate([line, shared if k < 3 else rng.integers(1 << 20, 1 << 32, 30)]).astype(np.uint32).tobytes() for k in range(100)]
+    rows_ = [(7, k, 5, True, 100, around[k]) for k in range(100)] + [(8, k, 5, True, 2, around[50 + k]) for k in range(2)]
+    got = rows(passages.in_blocks(spark.createDataFrame(rows_, passages.MEMBER)))
+    assert sorted(zip(got.key, got.doc_id, got.blocks, strict=True)) == [(7, 0, 1), (7, 1, 1), (7, 2, 1), (8, 0, 1), (8, 1, 1)]
+
+
+def test_the_steps_of_repeated_passages_leave_no_files(spark):
+    """Of the stored tables only the last, which the result is read from, is there at the end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    text, before = prose(120), spark.conf.get(name, None)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    there = set(folder.iterdir())
+    out = passages.repeated_passages(spark.createDataFrame([(i, f"{prose(30)} {text}") for i in range(3)], "doc_id long, text string"))
+    assert len(rows(out)) == 3
+    assert [x.name.split("-")[0] for x in set(folder.iterdir()) - there] == ["spans"]
+    assert spark.conf.get(name, None) == before
+
+
 def test_blocks_of_the_benchmark_do_not_change_the_similarity(spark, monkeypatch):
     rng = np.random.default_rng(41)
     common = prose(30, rng)
