@@ -370,12 +370,14 @@ def test_places_shared_by_blocks_of_a_key():
                 assert near[i, j] == len(set(around[i].tolist()) & set(around[j].tolist()))
 
 
+@pytest.mark.parametrize("wide", [True, False])
 @pytest.mark.parametrize("size", [1, 3, 16, 17, 60])
-def test_near_pairs_of_groups_equal_sets(size):
+def test_near_pairs_of_groups_equal_sets(size, wide):
     rng = np.random.default_rng(size)
     group = np.repeat(np.arange(120 // size), size)
-    around = [rng.choice(90, rng.integers(45, 80), replace=False).astype(np.uint32) for _ in group]
-    i, j = passages._near_pairs(group, pa.array([x.tobytes() for x in around], pa.binary()))
+    around = [rng.choice(90, rng.integers(45, 80), replace=False).astype(np.uint32 if wide else np.uint16) for _ in group]
+    least = np.full(group.size, passages.NEAR)
+    i, j = passages._near_pairs(group, pa.array([x.tobytes() for x in around], pa.binary()), np.full(group.size, wide), least)
     near = lambda a, b: group[a] == group[b] and len(set(around[a].tolist()) & set(around[b].tolist())) >= passages.NEAR
     want = {(a, b) for b in range(group.size) for a in range(b) if near(a, b)}
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and i.size == len(want) and (size == 1 or want)
@@ -389,12 +391,32 @@ def test_distinct_shingles_of_stretches():
     assert passages._distinct(h, low, high).tolist() == [len(set(h[a:b].tolist())) for a, b in zip(low, high, strict=True)]
 
 
+def test_16_bit_shingles_miss_no_pair(spark):
+    """What a place's shingles lose by having 16 bits is taken off ``least``."""
+    rng = np.random.default_rng(101)
+    texts = [(i, prose(160, rng)) for i in range(40)]
+    _, h, first = passages.shingles(passages.words(next(slices(pa.array([t for _, t in texts]))), lower=True), passages.WORDS, whole_if_short=False)
+    at = 70
+    places = []
+    for i in range(40):
+        x = int(h[first[i] + at])
+        key = int((passages.mix((passages.mix(np.array([x], np.uint64) ^ passages._SALTS[0]) | passages.U(1 << 63))) & ~passages.U(7)).view(np.int64)[0])
+        places += [(key, i, at, True, n) for n in (2, 200)]
+    got = rows(passages.surroundings(spark.createDataFrame(places, "key long, doc_id long, at long, open boolean, n long"), spark.createDataFrame(texts, "doc_id long, text string")))
+    assert len(got) == 80 and (got.wide == (got.n > passages.NARROW)).all()
+    for r in got.itertuples():
+        low, high = max(first[r.doc_id] + at - passages.AROUND, first[r.doc_id]), min(first[r.doc_id] + at + passages.AROUND + 1, first[r.doc_id + 1])
+        own = h[low:high] >> passages.U(32 if r.wide else 48)
+        assert np.frombuffer(r.around, np.uint32 if r.wide else np.uint16).tolist() == own.tolist()
+        assert r.least == passages.NEAR - len(set((h[low:high] >> passages.U(32)).tolist())) + len(set(own.tolist()))
+
+
 def test_members_of_a_large_key_without_company_leave(spark, monkeypatch):
     monkeypatch.setattr(passages, "CLASS_BLOCK", 16)
     rng = np.random.default_rng(91)
     line, shared = np.arange(20), np.arange(1000, 1030)
     around = [np.concatenate([line, shared if k < 3 else rng.integers(1 << 20, 1 << 32, 30)]).astype(np.uint32).tobytes() for k in range(100)]
-    rows_ = [(7, k, 5, True, 100, around[k]) for k in range(100)] + [(8, k, 5, True, 2, around[50 + k]) for k in range(2)]
+    rows_ = [(7, k, 5, True, 100, True, 41, around[k]) for k in range(100)] + [(8, k, 5, True, 2, True, 41, around[50 + k]) for k in range(2)]
     got = rows(passages.in_blocks(spark.createDataFrame(rows_, passages.MEMBER)))
     assert sorted(zip(got.key, got.doc_id, got.blocks, strict=True)) == [(7, 0, 1), (7, 1, 1), (7, 2, 1), (8, 0, 1), (8, 1, 1)]
 
