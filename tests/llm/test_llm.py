@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
@@ -421,6 +422,70 @@ def test_members_of_a_large_key_without_company_leave(spark, monkeypatch):
     assert sorted(zip(got.key, got.doc_id, got.blocks, strict=True)) == [(7, 0, 1), (7, 1, 1), (7, 2, 1), (8, 0, 1), (8, 1, 1)]
 
 
+def test_bits_of_pairs_and_steps_between_ids():
+    rng = np.random.default_rng(101)
+    group = np.repeat(np.arange(7), [2, 9, 1, 30, 8, 17, 3])
+    i, j = np.nonzero(np.triu(group[:, None] == group, 1) & (rng.random((70, 70)) < 0.4))
+    first, begin, data = passages._bits(group, i, j)
+    assert first.tolist() == [0, 2, 11, 12, 42, 50, 67, 70] and begin[-1] == data.size
+    got = passages._unbits(first, data)
+    assert sorted(zip(*(x.tolist() for x in got), strict=True)) == sorted(zip(i.tolist(), j.tolist(), strict=True))
+    some = np.array([1, 5, 20, 45, 60])
+    got = passages._unbits(first, data, some)
+    assert sorted(zip(*(x.tolist() for x in got), strict=True)) == sorted((a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if a in some)
+    for far in (1 << 7, 1 << 15, 1 << 40, (1 << 63) - 1):
+        place, other = rng.integers(0, 5, 300), rng.integers(-far, far, 300)
+        doc, start, end, least, more, width = passages._spans(place, place * 2, place * 3, other)
+        assert doc.to_pylist() == list(range(5)) and end.to_pylist() == [0, 3, 6, 9, 12]
+        row, to = passages._others(least.to_numpy(), more, width.to_numpy())
+        assert sorted(zip(row.tolist(), to.tolist(), strict=True)) == sorted(set(zip(place.tolist(), other.tolist(), strict=True)))
+
+
+@pytest.mark.parametrize("size", [1 << 20, 6000])
+def test_a_text_goes_once_to_the_cell_of_its_pairs(spark, monkeypatch, size):
+    """40 documents with one passage and nothing else in common: 780 pairs, and 40 texts to read them
+    in, or in blocks of a few documents a text for each block."""
+    monkeypatch.setattr(passages, "CELL_BYTES", size)
+    seen, real = [], passages.passages_of
+
+    def spy(parts, lists, texts):
+        seen.append(rows(parts.select("cell", "low", "high", F.explode("docs").alias("doc_id")).union(lists.select("cell", "low", "high", F.explode(F.array("a", "b")))).distinct()))
+        return real(parts, lists, texts)
+
+    monkeypatch.setattr(passages, "passages_of", spy)
+    rng = np.random.default_rng(103)
+    passage = " ".join(f"p{k}" for k in range(68))
+    own = lambda: " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 60))
+    texts = [(i, f"{own()} {passage} {own()}") for i in range(40)]
+    got = rows(passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert sorted(got.doc_id) == list(range(40)) and (got.n_links == 39).all() and (got.first_doc == 0).all() and (got.start_word == 60).all() and (got.n_words == 68).all()
+    blocks = 1 + max(x.high.max() for x in seen)
+    assert sum(len(x) for x in seen) <= 40 * blocks
+    assert (blocks == 1) == (size == 1 << 20)
+
+
+def test_copies_inside_documents_whatever_way_their_rows_are_dealt(spark, tmp_path):
+    """A union of what is dealt by doc_id is not dealt by it again, so the rows of a document may
+    be apart where its parts are put into fewer partitions, each in its own way."""
+    spans, want = [], set()
+    for d in range(200):
+        for at in range(0, 20_000 if d % 10 == 0 else 200, 200):
+            spans += [(d, at, at + 60, d, b"", 1, at + 100, at + 160), (d, at + 100, at + 160, d, b"", 1, at, at + 60)]
+        spans += [(d, at, at + 60, 1000 + k, b"", 1, None, None) for k, at in enumerate(range(0, 200, 200))]
+        want |= {(d, 0), (d, 100)}
+    conf = {"adaptive.advisoryPartitionSizeInBytes": "8k", "adaptive.coalescePartitions.parallelismFirst": "false", "adaptive.coalescePartitions.minPartitionSize": "1k", "autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(f"spark.sql.{k}", None) for k in conf}
+    spark.createDataFrame(spans, passages.SPAN).repartition(4).write.parquet(f"{tmp_path}/spans")
+    for k, v in conf.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    try:
+        got = rows(passages.own_copies(spark.read.parquet(f"{tmp_path}/spans")))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(f"spark.sql.{k}") if v is None else spark.conf.set(f"spark.sql.{k}", v)
+    assert set(zip(got.doc_id.tolist(), got.start_word.tolist(), strict=True)) == want
+
+
 def test_the_steps_of_repeated_passages_leave_no_files(spark):
     """Of the stored tables only the last, which the result is read from, is there at the end."""
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
